@@ -24,8 +24,7 @@ def squeeze(c: ColumnLike) -> Column:
 
 
 def blank_to_null(c: ColumnLike) -> Column:
-    c = as_col(c)
-    return F.when(F.length(c) > 0, c)
+    return F.nullif(as_col(c), F.lit(""))
 
 
 def clean(c: ColumnLike) -> Column:

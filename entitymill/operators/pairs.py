@@ -11,22 +11,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 COMMON_GRAMS = 64
 SLACK = 1e-9
 
 
-def _numbered_grams(name: Column) -> Column:
-    """Two-letter grams, each with its running number among equals: a set instead of a bag."""
+def _with_grams(names: DataFrame) -> DataFrame:
+    """Adds the two-letter grams, each numbered among its equals: a set instead of a bag."""
+    name = F.col("name")
     places = F.when(F.length(name) > 1, F.sequence(F.lit(1), F.length(name) - 1)).otherwise(
         F.array().cast("array<int>")
     )
-    grams = F.transform(places, lambda i: F.substring(name, i, F.lit(2)))
-    return F.transform(
-        grams,
+    plain = names.withColumn("plain", F.transform(places, lambda i: F.substring(name, i, F.lit(2))))
+    numbered = F.transform(
+        "plain",
         lambda g, i: F.concat(
-            g, F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda x: x == g)).cast("string")
+            g, F.size(F.filter(F.slice("plain", F.lit(1), i + 1), lambda x: x == g)).cast("string")
         ),
     )
+    return plain.withColumn("grams", numbered).drop("plain")
 
 
 def _frequent_grams(names: DataFrame) -> list[str]:
@@ -48,7 +52,7 @@ def _shared_at_least(total_length: Column, threshold: float) -> Column:
 
 def _indexed(names: DataFrame, threshold: float) -> DataFrame:
     """Adds length, grams in the common order (rare first) and how many of them to join on."""
-    staged = names.withColumn("grams", _numbered_grams(F.col("name")))
+    staged = cut_lineage(_with_grams(names))
     frequent = _frequent_grams(staged)
     listed = F.array(*[F.lit(g) for g in frequent]) if frequent else F.array().cast("array<string>")
     ranked = F.transform(
@@ -84,7 +88,7 @@ def candidate_pairs(new: DataFrame, known: DataFrame, threshold: float) -> DataF
         .groupBy("block", "name")
         .agg(F.max((F.col("side") == 1)).alias("is_new"), F.max((F.col("side") == 2)).alias("is_known"))
     )
-    index = _indexed(names, threshold)
+    index = cut_lineage(_indexed(names, threshold))
     by_gram = index.withColumn("gram", F.explode("head"))
     a = by_gram.where("is_new").select(
         "block", "gram", F.col("name").alias("new_name"), F.col("len").alias("a_len"),
@@ -104,7 +108,7 @@ def candidate_pairs(new: DataFrame, known: DataFrame, threshold: float) -> DataF
         .where(unequal & near & once & shared)
         .select("block", "new_name", "known_name")
     )
-    equal = names.where("is_new AND is_known").select(
+    equal = index.where("is_new AND is_known").select(
         "block", F.col("name").alias("new_name"), F.col("name").alias("known_name")
     )
     return similar.unionAll(equal)

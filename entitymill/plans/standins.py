@@ -54,15 +54,17 @@ def phone_digits(k: str, e: str) -> str:
 def keyed(table: str, key: str) -> str:
     """The base rows with k (record key), e (the business it stands for) and what follows from e.
 
-    sn surname, nm plain name, dg phone digits, dom domain, st state, cy city, zp zip.
+    sn surname, td trade, sx suffix, nm plain name, mb mailbox, dg phone digits (in parts d1-d3), dom domain, st state, cy city, zp zip.
     """
     serial = f"CASE WHEN e >= 20592 THEN ' ' || CAST({part_of('e', 20592)} AS STRING) ELSE '' END"
     return f"""(
-        SELECT *, {pick(part_of('e', 176), LEAD_WORD)} || sn || ' ' || {pick('e', TRADE)} || {serial} AS nm,
-               lower(sn) || CAST(e AS STRING) || '.com' AS dom
+        SELECT *, {pick(part_of('e', 176), LEAD_WORD)} || sn || ' ' || td || {serial} || sx AS nm,
+               lower(sn) || CAST(e AS STRING) || '.com' AS dom,
+               substring(dg, 1, 3) AS d1, substring(dg, 4, 3) AS d2, substring(dg, 7, 4) AS d3
         FROM (
             SELECT *, {pick('e', SYLLABLE_A)} || {pick(part_of('e', 16), SYLLABLE_B)} AS sn,
-                   {phone_digits('k', 'e')} AS dg,
+                   {phone_digits('k', 'e')} AS dg, {pick('e', TRADE)} AS td, {pick('k', SUFFIX)} AS sx,
+                   {pick('k', ["info", "Sales", "j.smith", "office"])} AS mb,
                    CASE WHEN k % 11 = 0 THEN {pick('k', STATES)} ELSE {pick('e', STATES)} END AS st,
                    {pick(part_of('e', 2), CITIES)} AS cy,
                    lpad(CAST(10000 + (e * 31) % 8999 AS STRING), 5, '0') ||
@@ -76,31 +78,25 @@ def keyed(table: str, key: str) -> str:
 
 
 NAME = (
-    f"(CASE CAST(k % 8 AS INT) WHEN 3 THEN upper(nm || {pick('k', SUFFIX)}) "
-    f"WHEN 5 THEN '  ' || nm || {pick('k', SUFFIX)} || '  ' "
-    f"WHEN 6 THEN sn || 's ' || {pick('e', TRADE)} || {pick('k', SUFFIX)} "
-    f"ELSE nm || {pick('k', SUFFIX)} END)"
+    "(CASE CAST(k % 8 AS INT) WHEN 3 THEN upper(nm) WHEN 5 THEN '  ' || nm || '  ' "
+    "WHEN 6 THEN sn || 's ' || td || sx ELSE nm END)"
 )
 
 PHONE_CLEAN = "(CASE WHEN k % 9 = 4 OR k % 13 = 5 THEN NULL ELSE dg END)"
 
-_AREA, _MID, _END = "substring(dg, 1, 3)", "substring(dg, 4, 3)", "substring(dg, 7, 4)"
-
 PHONE = (
-    f"(CASE WHEN k % 9 = 4 THEN NULL WHEN k % 13 = 5 THEN '555-01' "
-    f"ELSE CASE CAST(k % 5 AS INT) WHEN 0 THEN '(' || {_AREA} || ') ' || {_MID} || '-' || {_END} "
-    f"WHEN 1 THEN '+1 ' || {_AREA} || '-' || {_MID} || '-' || {_END} "
-    f"WHEN 2 THEN {_AREA} || '.' || {_MID} || '.' || {_END} WHEN 3 THEN '1' || dg "
-    f"ELSE {_AREA} || '-' || {_MID} || '-' || {_END} || ' ext 12' END END)"
+    "(CASE WHEN k % 9 = 4 THEN NULL WHEN k % 13 = 5 THEN '555-01' "
+    "ELSE CASE CAST(k % 5 AS INT) WHEN 0 THEN '(' || d1 || ') ' || d2 || '-' || d3 "
+    "WHEN 1 THEN '+1 ' || d1 || '-' || d2 || '-' || d3 "
+    "WHEN 2 THEN d1 || '.' || d2 || '.' || d3 WHEN 3 THEN '1' || dg "
+    "ELSE d1 || '-' || d2 || '-' || d3 || ' ext 12' END END)"
 )
 
-MAILBOX = pick("k", ["info", "Sales", "j.smith", "office"])
-
 EMAIL = (
-    f"(CASE WHEN k % 8 = 3 THEN NULL WHEN k % 8 = 5 THEN '  ' "
-    f"WHEN k % 6 = 2 THEN lower(sn) || CAST(k AS STRING) || '@gmail.com' "
-    f"WHEN k % 5 = 1 THEN '  ' || {MAILBOX} || '@' || upper(dom) || ' ' "
-    f"ELSE {MAILBOX} || '@' || dom END)"
+    "(CASE WHEN k % 8 = 3 THEN NULL WHEN k % 8 = 5 THEN '  ' "
+    "WHEN k % 6 = 2 THEN lower(sn) || CAST(k AS STRING) || '@gmail.com' "
+    "WHEN k % 5 = 1 THEN '  ' || mb || '@' || upper(dom) || ' ' "
+    "ELSE mb || '@' || dom END)"
 )
 
 WEBSITE = (
@@ -207,7 +203,7 @@ TABLES: dict[str, str] = {
                CASE WHEN {O} % 6 = 1 THEN '' ELSE {NAME} END AS business_name,
                CASE WHEN {O} % 12 = 1 THEN '' ELSE sn || ' Pat' END AS person_name,
                CASE WHEN {O} % 5 = 3 THEN '' ELSE {PHONE} END AS business_phone,
-               '(' || substring(dg, 1, 3) || ') ' || substring(dg, 4, 3) || '-9' || substring(dg, 8, 3) AS person_phone, {EMAIL} AS email,
+               '(' || d1 || ') ' || d2 || '-9' || substring(d3, 2, 3) AS person_phone, {EMAIL} AS email,
                CAST(e AS STRING) || ' Main St' AS address1,
                CASE WHEN {O} % 3 = 0 THEN 'Suite ' || CAST({O} % 9 AS STRING) ELSE '' END AS address2,
                cy AS city, st AS state, zp AS zip,
