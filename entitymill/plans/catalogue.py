@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["normalise", "loading", "resolving", "linking", "scored"]
+MODULES = ["normalise", "loading", "resolving", "linking", "scored", "marted"]
 
 for _module in MODULES:
     import_module(f"{__package__}.{_module}")
