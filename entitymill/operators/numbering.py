@@ -41,3 +41,18 @@ def quota_per_group(df: DataFrame, quotas: DataFrame, group: str, order: str, mo
     whole = Window.partitionBy(group).orderBy(order)
     ranked = few.drop("_slice", "_r").withColumn("rank_in_group", F.row_number().over(whole))
     return ranked.join(quotas, group).where(F.col("rank_in_group") <= F.col("quota"))
+
+
+def newest_per_group(
+    df: DataFrame, group: str, order: list[Column], unique: str, n: int, slices: int = 64
+) -> DataFrame:
+    """The first n rows of every group. Hash slices of a group are cut to n rows each first."""
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(unique), F.lit(slices)))
+    few = sliced.withColumn(
+        "_r", F.row_number().over(Window.partitionBy(group, "_slice").orderBy(*order))
+    ).where(F.col("_r") <= n)
+    return (
+        few.drop("_slice", "_r")
+        .withColumn("rank_in_group", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+        .where(F.col("rank_in_group") <= n)
+    )

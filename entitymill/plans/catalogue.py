@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["normalise", "loading", "resolving", "linking", "scored", "marted"]
+MODULES = ["normalise", "loading", "resolving", "linking", "scored", "marted", "tracked"]
 
 for _module in MODULES:
     import_module(f"{__package__}.{_module}")
