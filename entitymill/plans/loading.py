@@ -169,7 +169,7 @@ def _florida(t):
 
 def _texas(t):
     return _extract(t, "TX").select(
-        F.col("type_code").alias("LICENSE TYPE"), F.col("license_number").alias("LICENSE NUMBER"),
+        "row_no", F.col("type_code").alias("LICENSE TYPE"), F.col("license_number").alias("LICENSE NUMBER"),
         F.col("issue_text").alias("LICENSE EXPIRATION DATE"), F.lit("Travis").alias("COUNTY"),
         F.col("person_name").alias("NAME"), F.col("person_phone").alias("PHONE NUMBER"),
         F.col("business_name").alias("BUSINESS NAME"),
@@ -246,6 +246,7 @@ def src11(t):
 def _load_florida(t):
     return registries.load_florida(
         _extract(t, "FL").select(
+            "row_no",
             F.col("type_code").alias("license_type"), F.col("person_name").alias("name"),
             F.col("business_name").alias("company"), F.col("address1").alias("address"),
             "city", "state", "zip", "email",
@@ -256,7 +257,7 @@ def _load_florida(t):
 def _load_california(t):
     return registries.load_california(
         _extract(t, "CA").select(
-            F.col("business_name").alias("BusinessName"),
+            "row_no", F.col("business_name").alias("BusinessName"),
             F.col("person_name").alias("FullBusinessName"),
             F.col("business_phone").alias("BusinessPhone"),
             F.col("address1").alias("MailingAddress"), F.col("city").alias("City"),
@@ -270,6 +271,7 @@ def _load_california(t):
 def _load_new_york(t):
     return registries.load_new_york(
         _extract(t, "NYC").select(
+            "row_no",
             F.col("type_code").alias("license_type_code"),
             F.col("person_name").alias("licensee_name"), "license_number",
             F.lit("").alias("business_1"), F.col("business_name").alias("business_2"),
@@ -317,22 +319,22 @@ LOAD_SQL = {
 
 @query("src12_load_florida", LOAD_SQL["FL"])
 def src12(t):
-    return _load_florida(t)
+    return _load_florida(t).select(*registries.RECORD)
 
 
 @query("src13_load_california", LOAD_SQL["CA"])
 def src13(t):
-    return _load_california(t)
+    return _load_california(t).select(*registries.RECORD)
 
 
 @query("src14_load_texas", LOAD_SQL["TX"])
 def src14(t):
-    return registries.load_texas(_texas(t))
+    return registries.load_texas(_texas(t)).select(*registries.RECORD)
 
 
 @query("src15_load_new_york", LOAD_SQL["NYC"])
 def src15(t):
-    return _load_new_york(t)
+    return _load_new_york(t).select(*registries.RECORD)
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import domains, fixed_values as fixed, names, phones, places, text
+from ..functions.licences import category_of
 from ..functions.similarity import block_ratio, indel_ratio
 from ..operators import filters
 from . import duck
@@ -170,16 +171,10 @@ def n25(t):
 )
 def n26(t):
     return t.registry.select(
-        "row_no", places_category(F.col("registry_state"), F.col("type_code")).alias("category")
+        "row_no", category_of("registry_state", "type_code").alias("category")
     )
 
 
-def places_category(state, code):
-    from ..functions.licences import category_of
-
-    return category_of(state, code)
-
-
 @query(
     "n27_full_address",
     """SELECT row_no, nullif(concat_ws(', ', nullif(address1, ''), nullif(address2, ''),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import names, phones, places, text
+from ..functions import names, phones, text
+from ..functions.domains import email_domain
 from ..functions.similarity import block_ratio, indel_ratio
 from ..operators import cluster, keyed, numbering, pairs, upsert as upserting
 from ..operators.linkage import FUZZY_THRESHOLD
@@ -12,7 +13,7 @@ from ..session import cut_lineage
 from . import duck
 from .loading import loaded_registries
 from .registry import query
-from .shared import DK, MK, keyed_dealers, master, master_contacts
+from .shared import DK, keyed_dealers, master, master_contacts
 
 FIRST = "QUALIFY row_number() OVER (PARTITION BY {} ORDER BY dealer_id) = 1"
 
@@ -156,26 +157,15 @@ def d06(t):
 
 
 def batch(t):
-    """The loaded registry rows as an upsert batch; the licence number and type make the id."""
-    rows = loaded_registries(t)
-    key = F.concat_ws("|", "source", "license_number", "license_type", "company_name", "city", "email", "phone")
-    numbered = rows.withColumn("record_id", F.abs(F.xxhash64(key)) % F.lit(1 << 52))
-    return keyed.first_per_key(
-        numbered.select(
-            "record_id", "company_name", "contact_name", "city", "state", "zip",
-            "license_type", "license_category", "license_number",
-            phones.phone10("phone").alias("phone"),
-            F.lower(text.clean("email")).alias("email"),
-            mail_domain().alias("domain"), names.company_key("company_name").alias("name_key"),
-        ),
-        ["record_id"], "record_id",
-    )
-
-
-def mail_domain():
-    from ..functions.domains import email_domain
-
-    return email_domain("email")
+    """The loaded registry rows as an upsert batch, numbered by row and class position."""
+    position = F.coalesce(F.col("class_no"), F.lit(0))
+    return loaded_registries(t).select(
+        (F.col("row_no") * 1024 + position).alias("record_id"),
+        "company_name", "contact_name", "city", "state", "zip",
+        "license_type", "license_category", "license_number",
+        phones.phone10("phone").alias("phone"), F.lower(text.clean("email")).alias("email"),
+        email_domain("email").alias("domain"), names.company_key("company_name").alias("name_key"),
+    )
 
 
 def run_upsert(t):

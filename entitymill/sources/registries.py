@@ -98,8 +98,12 @@ RECORD = [
 
 
 def _record(df: DataFrame, source: str, values: dict[str, Column]) -> DataFrame:
+    """The record columns, with row_no (and class_no after an explode) where the extract has them."""
     values = {**values, "source": F.lit(source)}
-    return df.select(*[values.get(c, F.lit(None)).cast("string").alias(c) for c in RECORD])
+    place = [c for c in ("row_no", "class_no") if c in df.columns]
+    return df.select(
+        *[values.get(c, F.lit(None)).cast("string").alias(c) for c in RECORD], *place
+    )
 
 
 def load_florida(df: DataFrame) -> DataFrame:
@@ -117,7 +121,7 @@ def load_california(df: DataFrame) -> DataFrame:
     """Clear licences only, one row per classification in scope."""
     table = fixed.LICENCE_CATEGORIES["CA"]
     live = df.where(F.upper(clean("PrimaryStatus")) == "CLEAR")
-    each = live.withColumn("class_code", F.explode(class_codes("Classifications(s)")))
+    each = live.select("*", F.posexplode(class_codes("Classifications(s)")).alias("class_no", "class_code"))
     return _record(each, "CA_CSLB", {
         "company_name": first_filled("BusinessName", "FullBusinessName"),
         "address": clean("MailingAddress"), "city": clean("City"),
