@@ -4,6 +4,8 @@ Both similarities in use are at most 2 * LCS / (a + b), a and b being the name l
 that is at least t, the names share at least (1.5 t - 1) * (a + b) - 1 numbered two-letter
 grams: every letter outside the common subsequence breaks at most one gram of it. So two
 similar names must meet in the rarer part of their grams, and only that part is joined on.
+What meets must also lie within an edit distance of (1 - t) * (a + b), which Spark's bounded
+levenshtein tells before any Python runs.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, setting
 
 COMMON_GRAMS = 64
 SLACK = 1e-9
@@ -51,7 +53,7 @@ def _shared_at_least(total_length: Column, threshold: float) -> Column:
 
 
 def _indexed(names: DataFrame, threshold: float) -> DataFrame:
-    """Adds length, grams in the common order (rare first) and how many of them to join on."""
+    """Adds the grams to join on: the first ones in the common order, rare ones first."""
     staged = cut_lineage(_with_grams(names))
     frequent = _frequent_grams(staged)
     listed = F.array(*[F.lit(g) for g in frequent]) if frequent else F.array().cast("array<string>")
@@ -66,8 +68,8 @@ def _indexed(names: DataFrame, threshold: float) -> DataFrame:
     needed = F.greatest(_shared_at_least(length + shortest, threshold), F.lit(1))
     return (
         staged.withColumn("grams", F.transform(F.array_sort(ranked), lambda s: s["g"]))
-        .withColumn("len", length)
         .withColumn("head", F.slice("grams", 1, F.greatest(length - needed, F.lit(1))))
+        .drop("grams")
     )
 
 
@@ -75,10 +77,17 @@ def candidate_pairs(new: DataFrame, known: DataFrame, threshold: float) -> DataF
     """(block, new_name, known_name) of all distinct names that may reach the threshold.
 
     Inputs hold block and name. Equal names in a block are always among the pairs. The pair
-    join reads two plain shuffles, so adaptive execution splits a hot (block, gram).
+    join reads two plain shuffles, so adaptive execution splits a hot (block, gram). Its work
+    grows with the pairs, not with the bytes: small partitions must not be merged, and the
+    pairs are kept, as they cost more than they hold.
     """
     if threshold < 0.8:
         raise ValueError("the gram filter is lossless for thresholds of 0.8 and more")
+    with setting(new.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        return cut_lineage(_meeting_names(new, known, threshold))
+
+
+def _meeting_names(new: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     named = lambda df, side: df.where("block IS NOT NULL AND name IS NOT NULL").select(
         "block", "name", F.lit(side).alias("side")
     )
@@ -90,23 +99,18 @@ def candidate_pairs(new: DataFrame, known: DataFrame, threshold: float) -> DataF
     )
     index = cut_lineage(_indexed(names, threshold))
     by_gram = index.withColumn("gram", F.explode("head"))
-    a = by_gram.where("is_new").select(
-        "block", "gram", F.col("name").alias("new_name"), F.col("len").alias("a_len"),
-        F.col("grams").alias("a_grams"), F.col("head").alias("a_head"),
-    )
-    b = by_gram.where("is_known").select(
-        "block", "gram", F.col("name").alias("known_name"), F.col("len").alias("b_len"),
-        F.col("grams").alias("b_grams"), F.col("head").alias("b_head"),
-    )
-    total = F.col("a_len") + F.col("b_len")
-    near = 2.0 * F.least("a_len", "b_len") >= threshold * total - SLACK
-    once = F.get(F.array_intersect("a_head", "b_head"), F.lit(0)) == F.col("gram")
-    shared = F.size(F.array_intersect("a_grams", "b_grams")) >= _shared_at_least(total, threshold)
+    a = by_gram.where("is_new").select("block", "gram", F.col("name").alias("new_name"))
+    b = by_gram.where("is_known").select("block", "gram", F.col("name").alias("known_name"))
+    a_len, b_len = F.length("new_name"), F.length("known_name")
+    near = 2.0 * F.least(a_len, b_len) >= threshold * (a_len + b_len) - SLACK
+    most = F.floor((a_len + b_len) * (1.0 - threshold) + SLACK).cast("int")
+    close = F.call_function("levenshtein", F.col("new_name"), F.col("known_name"), most) >= 0
     unequal = F.col("new_name") != F.col("known_name")
     similar = (
         a.join(b, ["block", "gram"])
-        .where(unequal & near & once & shared)
+        .where(unequal & near & close)
         .select("block", "new_name", "known_name")
+        .distinct()
     )
     equal = index.where("is_new AND is_known").select(
         "block", F.col("name").alias("new_name"), F.col("name").alias("known_name")

@@ -113,8 +113,7 @@ def inventory_by_folder(files: DataFrame) -> DataFrame:
     """Rows and distinct states per folder; files carry _metadata.file_path as `path`."""
     folder = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
     return files.groupBy(folder.alias("folder")).agg(
-        F.count(F.lit(1)).alias("record_count"), F.countDistinct("state").alias("states"),
-        F.countDistinct("path").alias("files"),
+        F.count(F.lit(1)).alias("record_count"), F.countDistinct("state").alias("states")
     )
 
 

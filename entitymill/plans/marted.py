@@ -405,7 +405,11 @@ def q06b(t):
     return quality.inventory_by_ranking(linked_rankings(t))
 
 
-@query("q07_inventory_by_folder")
+@query(
+    "q07_inventory_by_folder",
+    """SELECT 'source_file=' || source_file AS folder, count(*) AS record_count, count(DISTINCT state) AS states
+       FROM dealers GROUP BY 1""",
+)
 def q07(t):
     path = scratch_dir(t.spark, "q07")
     t.dealers.select("source_file", "dealer_id", "state").write.partitionBy("source_file").option("header", True).csv(path)
