@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import company_key
 from ..functions.similarity import block_ratio, indel_ratio
+from ..session import cut_lineage
 from .pairs import candidate_pairs
 from .skew import lookup_join
 
@@ -70,6 +71,7 @@ def fuzzy_first(
     Both inputs hold block and name (records: record_id; entities: entity_id). Distinct names
     are compared once. `ratio` is over new_name and known_name.
     """
+    records, entities = cut_lineage(records), cut_lineage(entities)
     pairs = (
         candidate_pairs(records, entities, threshold)
         .withColumn("ratio", ratio)
@@ -93,6 +95,7 @@ def fuzzy_best(records: DataFrame, entities: DataFrame, threshold: float) -> Dat
 
     Records and entities may come in several blocks each.
     """
+    records, entities = cut_lineage(records), cut_lineage(entities)
     pairs = (
         candidate_pairs(records, entities, threshold)
         .withColumn("ratio", indel_ratio(F.col("new_name"), F.col("known_name")))
@@ -128,9 +131,12 @@ def match_records(records: DataFrame, entities: DataFrame, contacts: DataFrame)
         (contacts.withColumn("pos", F.col("contact_id")), "email", "email", "email", 4),
         (entities.withColumn("pos", F.col("entity_id")), "domain", "domain", "domain", 5),
     ])
-    hits = keyed_hits(
-        records, "record_id", {"phone": "phone", "email": "email", "domain": "domain"}, index,
-        carry=["name_key"],
+    # hits and matches are read more than once: kept, not worked out again
+    hits = cut_lineage(
+        keyed_hits(
+            records, "record_id", {"phone": "phone", "email": "email", "domain": "domain"}, index,
+            carry=["name_key"],
+        )
     )
     # a domain counts only when its first entity has a similar name
     names = entities.select("entity_id", F.col("name_key").alias("known_key"))
@@ -142,8 +148,8 @@ def match_records(records: DataFrame, entities: DataFrame, contacts: DataFrame)
         )
         .drop("known_key")
     )
-    keyed = best_hit(
-        hits.where("tier <> 'domain'").unionByName(unsure), "record_id"
+    keyed = cut_lineage(
+        best_hit(hits.where("tier <> 'domain'").unionByName(unsure), "record_id")
     )
     rest = records.join(keyed.select("record_id"), "record_id", "left_anti")
     fuzzy = fuzzy_first(

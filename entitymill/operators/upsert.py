@@ -52,7 +52,7 @@ def batch_links(records: DataFrame) -> DataFrame:
         ).alias("key"),
     )
     exact = key_links(members)
-    blocked = _state_prefix(records, "record_id")
+    blocked = cut_lineage(_state_prefix(records, "record_id"))
     owners = blocked.groupBy("block", "name").agg(F.min("record_id").alias("owner"))
     # the later name is compared with the earlier one, as in a sequential load
     similar = (
@@ -86,7 +86,7 @@ def upsert(records: DataFrame, entities: DataFrame, contacts: DataFrame, licence
     zip, license_type, license_category, license_number. New entities take the least record id
     of their cluster, shifted behind the largest entity id.
     """
-    records = cut_lineage(records)
+    records, entities = cut_lineage(records), cut_lineage(entities)
     matched = cut_lineage(match_records(records, entities, contacts))
     to_master = key_links(
         matched.select(

@@ -16,12 +16,12 @@ from .shared import DK, MK, RK, keyed_dealers, keyed_registry, master, master_co
 
 @query("j01_priority_match")
 def j01(t):
-    return linkage.match_records(batch(t), master(t), master_contacts(t))
+    return linkage.match_records(cut_lineage(batch(t)), master(t), master_contacts(t))
 
 
 @query("j02_match_without_email")
 def j02(t):
-    no_mail = batch(t).withColumn("email", F.lit(None).cast("string"))
+    no_mail = cut_lineage(batch(t).withColumn("email", F.lit(None).cast("string")))
     return linkage.match_records(no_mail, master(t), master_contacts(t))
 
 
@@ -41,7 +41,7 @@ DEALER_LICENCE = f"""{DK}, {RK}, lp AS (SELECT phone_key, min(row_no) AS license
 @query("j03_dealer_licence_fuzzy")
 def j03(t):
     """Phone, else domain, else the most similar name in the same city or zip code."""
-    dealers, held = keyed_dealers(t), licences(t)
+    dealers, held = cut_lineage(keyed_dealers(t)), cut_lineage(licences(t))
     exact = cut_lineage(enrich.dealer_licences(dealers, held))
     rest = dealers.join(exact.select("dealer_id"), "dealer_id", "left_anti")
 
