@@ -236,7 +236,7 @@ def needs_update(entities: DataFrame, status: DataFrame, score: str) -> DataFram
 def rank_links(rankings: DataFrame, entities: DataFrame) -> DataFrame:
     """Ranking to the first entity of the same name, in its state where the ranking names one."""
     def key(state: Column) -> Column:
-        return F.concat_ws("|", F.col("name_key"), state)
+        return F.concat("name_key", F.lit("|"), state)
 
     rows = entities.where("name_key IS NOT NULL").withColumn("pos", F.col("entity_id"))
     index = key_index([

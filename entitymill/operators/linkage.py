@@ -164,11 +164,9 @@ def match_records(records: DataFrame, entities: DataFrame, contacts: DataFrame)
 
 def _state_prefix(df: DataFrame, id_column: str) -> DataFrame:
     """Blocks of state and the first three letters; names are compared once more normalised."""
-    return df.where(F.length("name_key") >= 3).select(
-        id_column,
-        F.concat_ws("|", F.when(F.col("state").isNotNull(), F.col("state")), F.left("name_key", F.lit(3))).alias("block"),
-        company_key("name_key").alias("name"),
-    ).where(F.col("block").contains("|"))
+    block = F.concat("state", F.lit("|"), F.left("name_key", F.lit(3)))
+    named = df.where("state IS NOT NULL AND length(name_key) >= 3")
+    return named.select(id_column, block.alias("block"), company_key("name_key").alias("name"))
 
 
 def with_source_type(entities: DataFrame, matched: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def batch_links(records: DataFrame) -> DataFrame:
                 F.array(
                     F.concat(F.lit("phone:"), "phone"),
                     F.concat(F.lit("email:"), "email"),
-                    F.concat_ws("|", F.lit("name"), F.col("state"), F.col("name_key")),
+                    F.concat(F.lit("name:"), "state", F.lit("|"), "name_key"),
                 )
             )
         ).alias("key"),

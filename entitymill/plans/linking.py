@@ -137,11 +137,11 @@ def brand_import(t):
     """Directory records against the master by phone, domain, name in the state."""
     records = keyed_dealers(t).select(
         "dealer_id", "phone_key", "domain_key",
-        F.concat_ws("|", names.company_key("name"), F.col("state")).alias("name_state"),
+        F.concat(names.company_key("name"), F.lit("|"), F.col("state")).alias("name_state"),
     )
     entities = master(t).select(
         "entity_id", F.col("entity_id").alias("pos"), "phone", "domain",
-        F.concat_ws("|", "name_key", "state").alias("name_state"),
+        F.concat("name_key", F.lit("|"), "state").alias("name_state"),
     )
     index = linkage.key_index([
         (entities, "phone", "phone", "phone", 1),

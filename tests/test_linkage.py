@@ -91,6 +91,18 @@ def test_upsert_end_to_end(spark):
     assert again.entities.count() == 0 and again.licences.count() == 0 and again.contacts.count() == 0
 
 
+def test_nameless_records_stay_apart(spark):
+    rows = [
+        (1, None, "Ann", "ann@gmail.com", None, "FL", None, None, "CAC", "HVAC", "1"),
+        (2, None, "Bob", "bob@gmail.com", None, "FL", None, None, "CAC", "HVAC", "2"),
+        (3, "Acme", "Cy", None, None, None, None, None, None, None, None),
+        (4, "Acme", "Di", None, None, None, None, None, None, None, None),
+    ]
+    none = spark.createDataFrame([], "entity_id LONG, state STRING, license_type STRING, license_number STRING")
+    done = upsert(record(spark, rows), entities(spark), contacts(spark), none)
+    assert done.assignments.select("entity_id").distinct().count() == 4
+
+
 def test_exact_match_takes_row_zero(spark):
     dealers = spark.createDataFrame([(5, "2145550100", None), (6, None, "a.com"), (7, None, None)], "dealer_id LONG, phone_key STRING, domain_key STRING")
     held = spark.createDataFrame([(0, "2145550100", "a.com"), (1, "2145550100", None)], "pos LONG, phone_key STRING, domain_key STRING")
