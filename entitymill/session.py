@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 from contextlib import contextmanager
@@ -76,3 +77,32 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the checkpoint folder for written intermediate tables."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{os.urandom(6).hex()}")
+
+
+# Folders written by keep_table that this process still has to delete: path -> session.
+_KEPT: dict[str, SparkSession] = {}
+
+
+def keep_table(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table as Parquet in the shared folder and read it back.
+
+    Cheaper than a checkpoint for wide rows (columnar, compressed) and as safe: a lost executor
+    costs no recomputation. The folder is deleted when the process ends.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    _KEPT[path] = spark
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def drop_kept() -> None:
+    """Delete the folders of keep_table; a stopped session still has its gateway."""
+    while _KEPT:
+        path, spark = _KEPT.popitem()
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
+        except Exception:  # the JVM has gone: nothing left to ask
+            continue
