@@ -91,7 +91,7 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _KEPT[path] = spark
     return spark.read.schema(df.schema).parquet(path)
 
