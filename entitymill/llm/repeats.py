@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +49,37 @@ def bucket_count(runs: DataFrame, windows_per_bucket: int) -> int:
     return max(floor, -(-(total or 0) // windows_per_bucket))
 
 
+def spans_of_places(
+    keys: pa.Array, base: np.ndarray, owner: np.ndarray, entry: np.ndarray, low: np.ndarray, high: np.ndarray
+) -> pa.Table:
+    """Spans (entry, low, high) put at every place of their entry, joined per text.
+
+    keys, base, owner: text, position and entry of each place. Joining here keeps periodic texts,
+    where spans by the thousand overlap, at a few rows.
+    """
+    order = np.argsort(owner, kind="stable")
+    first = np.searchsorted(owner[order], entry)
+    count = np.searchsorted(owner[order], entry, "right") - first
+    step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    place = order[np.repeat(first, count) + step]
+    low, high = base[place] + np.repeat(low, count), base[place] + np.repeat(high, count)
+    doc = keys.field("doc_id")
+    known = pc.is_valid(doc).to_numpy(zero_copy_only=False)[place]
+    doc = pc.fill_null(doc, 0).to_numpy()[place]
+    tie = keys.field("tie").to_numpy()[place]
+    order = np.lexsort((tie, doc, known))
+    place, low, high = place[order], low[order], high[order]
+    new = np.zeros(len(order), np.int64)
+    for column in (known[order], doc[order], tie[order]):
+        new[1:] |= column[1:] != column[:-1]
+    text = np.cumsum(new)
+    # texts far apart on one line of numbers
+    low, high = tb.merge_spans(low + (text << 40), high + (text << 40))
+    at = place[np.searchsorted(text, low >> 40)]
+    return pa.table({"key": keys.take(pa.array(at)), "low": low & ((1 << 40) - 1),
+                     "high": high - (low >> 40 << 40)})
+
+
 def spans_by_text(spans: DataFrame) -> DataFrame:
     """(key, spans) from (key, low, high): the repeated parts of each text, bounded by the text."""
     return spans.groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("spans"))

@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .repeats import bucket_count, repeated_runs, spans_by_text
+from .repeats import bucket_count, repeated_runs, spans_by_text, spans_of_places
 
 WINDOW = 35
 GRAM = 8
-HOT_ROWS = 50_000
+HOT_ROWS = 2_000
 WINDOWS_PER_BUCKET = 150_000
 
 
@@ -89,7 +89,7 @@ def _pack(window: int, gram: int, buckets: int):
     return run
 
 
-def repeated_windows(packed: list[bytes], copies: list[int], window: int) -> list[np.ndarray]:
+def repeated_windows(packed: list[bytes], copies: np.ndarray, window: int) -> list[np.ndarray]:
     """For each packed string the flags of its windows that occur more than once.
 
     copies: how often each string occurs.
@@ -101,7 +101,7 @@ def repeated_windows(packed: list[bytes], copies: list[int], window: int) -> lis
         n = len(cuts) - window
         windows += [text[cuts[i] + 1 : cuts[i + window]] for i in range(n)]
         counts.append(n)
-    again = np.repeat(np.asarray(copies) > 1, counts)
+    again = np.repeat(copies > 1, counts)
     order = sorted(range(len(windows)), key=windows.__getitem__)
     same = np.fromiter((windows[a] == windows[b] for a, b in pairwise(order)), bool, max(len(order) - 1, 0))
     order = np.asarray(order, np.int64)
@@ -121,19 +121,21 @@ def _count(window: int):
             seen.setdefault(text, []).append(i)
         keys, firsts = table.column("keys").combine_chunks(), table.column("firsts").combine_chunks()
         ends = firsts.offsets.to_numpy()
-        places = [np.concatenate([np.arange(ends[i], ends[i + 1]) for i in rows]) for rows in seen.values()]
-        flags = repeated_windows(list(seen), [len(p) for p in places], window)
-        at, low, high = [], [], []
-        for place, again in zip(places, flags, strict=True):
+        sizes = np.diff(ends)
+        owner = np.empty(len(table), np.int64)
+        for entry, rows in enumerate(seen.values()):
+            owner[rows] = entry
+        copies = np.bincount(owner, sizes, len(seen))
+        entry, low, high = [], [], []
+        for i, again in enumerate(repeated_windows(list(seen), copies, window)):
             begin = np.flatnonzero(again)
             begin, end = tb.merge_spans(begin, begin + window)
-            at.append(np.repeat(place, len(begin)))
-            low.append(np.tile(begin, len(place)))
-            high.append(np.tile(end, len(place)))
-        at = np.concatenate(at).astype(np.int64)
-        first = firsts.values.to_numpy()[at].astype(np.int64)
-        return pa.table({"key": keys.values.take(pa.array(at)), "low": first + np.concatenate(low),
-                         "high": first + np.concatenate(high)})
+            entry += [i] * len(begin)
+            low.append(begin)
+            high.append(end)
+        return spans_of_places(
+            keys.flatten(), firsts.flatten().to_numpy().astype(np.int64), np.repeat(owner, sizes),
+            np.array(entry, np.int64), np.concatenate(low), np.concatenate(high))
 
     return run
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .repeats import bucket_count, repeated_runs, spans_by_text
+from .repeats import bucket_count, repeated_runs, spans_by_text, spans_of_places
 
 WINDOW = 400
 GRAM = 48
@@ -145,7 +145,7 @@ def _scan(window: int, gram: int):
 
 
 _RUN = "lcps array<int>, rests array<binary>, at array<int>"
-_SENT = f"bucket int, keys array<{tb.KEY_TYPE}>, anchors array<int>, firsts array<int>, lasts array<int>, " + (
+_SENT = f"bucket int, least array<int>, most array<int>, owner array<int>, keys array<{tb.KEY_TYPE}>, anchor array<int>, " + (
     f"ahead struct<{_RUN.replace(' array', ':array')}>, behind struct<{_RUN.replace(' array', ':array')}>")
 
 
@@ -157,22 +157,25 @@ def _send(window: int, gram: int, buckets: int):
         lcps, rests = front_code([strings[i] for i in order])
         return {"lcps": lcps, "rests": rests, "at": order}
 
-    def packed(held: dict[int, list], schema: pa.Schema) -> pa.RecordBatch:
+    def packed(held: dict[int, dict], schema: pa.Schema) -> pa.RecordBatch:
         rows = []
         for bucket, entries in held.items():
-            keys, anchors, firsts, lasts, ahead, behind = zip(*entries, strict=True)
-            rows.append({"bucket": bucket, "keys": keys, "anchors": anchors, "firsts": firsts, "lasts": lasts,
-                         "ahead": coded(ahead), "behind": coded(behind)})
+            least, most, ahead, behind = zip(*entries, strict=True)
+            places = [(entry, *p) for entry, found in enumerate(entries.values()) for p in found]
+            owner, keys, anchor = zip(*places, strict=True)
+            rows.append({"bucket": bucket, "least": least, "most": most, "owner": owner, "keys": keys,
+                         "anchor": anchor, "ahead": coded(ahead), "behind": coded(behind)})
         return pa.RecordBatch.from_pylist(rows, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = pa.struct([("doc_id", pa.int64()), ("tie", pa.int64())])
-        one = pa.struct([("lcps", pa.list_(pa.int32())), ("rests", pa.list_(pa.binary())),
-                         ("at", pa.list_(pa.int32()))])
-        schema = pa.schema([("bucket", pa.int32()), ("keys", pa.list_(key)), *(
-            (n, pa.list_(pa.int32())) for n in ("anchors", "firsts", "lasts")), ("ahead", one), ("behind", one)])
+        ints = pa.list_(pa.int32())
+        one = pa.struct([("lcps", ints), ("rests", pa.list_(pa.binary())), ("at", ints)])
+        schema = pa.schema([("bucket", pa.int32()), ("least", ints), ("most", ints), ("owner", ints),
+                            ("keys", pa.list_(key)), ("anchor", ints), ("ahead", one), ("behind", one)])
         for batch in batches:
-            held: dict[int, list] = {}
+            # per bucket: offsets and suffixes of an entry, and all its places
+            held: dict[int, dict[tuple, list]] = {}
             count = 0
             for text, key_, runs in zip(*(batch.column(c) for c in ("text", "key", "runs")), strict=True):
                 data, key_ = text.as_py().encode(), key_.as_py()
@@ -180,9 +183,10 @@ def _send(window: int, gram: int, buckets: int):
                     a, first, last = r["anchor"], r["first"], r["last"]
                     for f, l in [(s, s) for s in range(first, last + 1)] if r["hot"] else [(first, last)]:
                         mark = data[f : f + window] if r["hot"] else data[a : a + gram]
-                        held.setdefault(zlib.crc32(mark) % buckets, []).append(
-                            (key_, a, f, l, data[a : l + window], data[f:a][::-1]))
-                        count += 1
+                        entry = (a - l, a - f, data[a : l + window], data[f:a][::-1])
+                        places = held.setdefault(zlib.crc32(mark) % buckets, {}).setdefault(entry, [])
+                        count += not places
+                        places.append((key_, a))
                 if count >= RUN_SUFFIXES:
                     yield packed(held, schema)
                     held, count = {}, 0
@@ -236,25 +240,25 @@ def _receive(window: int):
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        flat = {c: table.column(c).combine_chunks().flatten() for c in ("keys", "anchors", "firsts", "lasts")}
-        anchors, firsts, lasts = (flat[c].to_numpy().astype(np.int64) for c in ("anchors", "firsts", "lasts"))
-        sizes = np.array([len(x) for x in table.column("anchors")])
+        flat = {c: table.column(c).combine_chunks().flatten() for c in ("least", "most", "owner", "anchor", "keys")}
+        least, most, owner, anchor = (flat[c].to_numpy().astype(np.int64) for c in ("least", "most", "owner", "anchor"))
+        sizes = np.array([len(x) for x in table.column("least")])
         base = np.cumsum(sizes) - sizes
+        owner += np.repeat(base, [len(x) for x in table.column("owner")])
         ahead, behind = merged(table, "ahead", base), merged(table, "behind", base)
-        # a window starts `offset` before its anchor; consecutive starts make one span
-        at, start = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for offset, entries in repeated_offsets(ahead, behind, anchors - lasts, anchors - firsts, window):
-            at.append(entries)
-            start.append(anchors[entries] - offset)
-        at, start = np.concatenate(at), np.concatenate(start)
-        order = np.lexsort((start, at))
-        at, start = at[order], start[order]
-        new = np.ones(len(at), bool)
-        new[1:] = (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(at)) - 1 if len(first) else first
-        return pa.table({"key": flat["keys"].take(pa.array(at[first])), "low": start[first],
-                         "high": start[last] + window})
+        # an entry with several places repeats all its windows
+        several = np.flatnonzero(np.bincount(owner, minlength=len(least)) > 1)
+        entry, low, high = [several], [-most[several]], [window - least[several]]
+        for offset, entries in repeated_offsets(ahead, behind, least, most, window):
+            entry.append(entries)
+            low.append(np.full(len(entries), -offset))
+            high.append(np.full(len(entries), window - offset))
+        entry, low, high = map(np.concatenate, (entry, low, high))
+        # the spans of an entry joined before they are put at its places
+        low, high = tb.merge_spans(low + (entry << 40) + window, high + (entry << 40) + window)
+        entry = low >> 40
+        return spans_of_places(flat["keys"], anchor, owner, entry, low - (entry << 40) - window,
+                               high - (entry << 40) - window)
 
     return run
 
