@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 # Positions in the low bits of a minimum's key, hash bits above them.
 POSITION_BITS = 24
 LONGEST = 1 << 22

@@ -6,9 +6,11 @@ lengths as another (see pfor). Shards are rows of a Parquet table in the shared
 committers keep it whole when an executor is lost. A shard is found by its first document; the
 places of all documents follow from sums over the shards, one small row each.
 
-A text is encoded in parts cut at spaces and line ends. The tokenizer drops white space before
-anything else looks at neighbours, so the parts' ids joined are the ids of the whole text; parts
-seen before come from a bounded memory.
+A text is encoded in parts: cut at spaces and line ends, and, where a text has only Latin letters,
+digits and ASCII signs but no apostrophe and no `<|`, between runs of letters and digits and the
+signs around them. The tokenizer cuts at these places itself and nothing looks across them, so the
+parts' ids joined are the ids of the whole text. Parts seen before come from a bounded memory; new
+words of letters are encoded many in one call and told apart by their word-end tokens.
 
 Defined cases: null and empty texts give the end id alone; rows without doc_id come first, equal
 doc_ids are ordered by a hash of their texts, equal rows are interchangeable; other columns are
@@ -18,6 +20,7 @@ ignored; an empty table gives an empty table of shards.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -42,6 +45,17 @@ _SHARDS = (f"first struct<doc_id:bigint,tie:bigint,part:bigint>, doc_ids array<b
            "ids binary, lengths binary")
 
 
+_UNSAFE = re.compile(r"['×÷\u0080-\u00bf\u0250-\U0010ffff]|<\|")
+_RUNS = re.compile(r"[0-9A-Za-zÀ-ɏ]+|[^0-9A-Za-zÀ-ɏ \n]+")
+
+
+def cut_parts(text: str) -> list[str]:
+    """Parts whose ids, joined, are the ids of the text."""
+    if _UNSAFE.search(text):
+        return text.replace("\n", " ").split(" ")
+    return _RUNS.findall(text)
+
+
 class PartEncoder:
     """Ids of a text as little-endian uint32 bytes."""
 
@@ -50,20 +64,37 @@ class PartEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Words of Latin letters: joined by spaces, each ends where its word-end token does."""
+        for low in range(0, len(words), 1000):
+            some = words[low : low + 1000]
+            ids = self._ids([" ".join(some)])[0]
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            parts = np.split(ids, cuts[:-1]) if len(cuts) == len(some) and cuts[-1] == len(ids) else self._ids(some)
+            yield from (x.tobytes() for x in parts)
+
     def _encode(self, parts: list[str]) -> Iterator[bytes]:
         for low in range(0, len(parts), 5000):
-            for e in self.tokenizer.encode_batch_fast(parts[low : low + 5000], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
+            yield from (x.tobytes() for x in self._ids(parts[low : low + 5000]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [cut_parts(t) for t in texts]
         if len(self.known) > MEMORY_PARTS:
             self.known = {}
         fresh = set().union(*split).difference(self.known)
-        short = [p for p in fresh if len(p) <= LONGEST_PART]
+        words = [p for p in fresh if p.isalpha() and len(p) <= LONGEST_PART and not _UNSAFE.search(p)]
+        short = [p for p in fresh.difference(words) if len(p) <= LONGEST_PART]
         long = [p for p in fresh if len(p) > LONGEST_PART]
+        self.known.update(zip(words, self._words(words), strict=True))
         self.known.update(zip(short, self._encode(short), strict=True))
         rare = dict(zip(long, self._encode(long), strict=True))
         if rare:
