@@ -134,8 +134,9 @@ def _word_counts(known: np.ndarray | None, share: np.ndarray | None):
                     part = np.divide(part, total, out=np.zeros_like(part), where=total > 0)
                 used, place = np.unique(word, return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(used), pa.array(np.bincount(place, part * bad, len(used))),
-                     pa.array(np.bincount(place, part * ~bad, len(used)))], ["bucket", "toxic", "clean"])
+                    [pa.array(used, pa.int64()), pa.array(np.bincount(place, part * bad, len(used)), pa.float64()),
+                     pa.array(np.bincount(place, part * ~bad, len(used)), pa.float64())],
+                    ["bucket", "toxic", "clean"])
 
     return run
 
