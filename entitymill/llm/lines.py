@@ -117,7 +117,8 @@ def deleted_runs(texts: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(row, key, n_lines, n_removed, kept): every document row as it came, and what is left of it."""
-    runs = keep_table(deleted_runs(tb.keyed_texts(docs), window), "line-runs")
+    # the join of the texts is the same at every size
+    runs = keep_table(deleted_runs(tb.keyed_texts(docs), window), "line-runs").hint("merge")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), tb.row_key())
     text = F.col("row")["text"].cast("string")
     kept = F.filter(
