@@ -23,6 +23,7 @@ each; other columns are ignored; a literal U+2581 decodes as a space.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -36,9 +37,11 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 UNKNOWN = 10.0
 # Parts remembered by a worker, the longest of them, and the parts of one array.
-MEMORY_PARTS = 300_000
+MEMORY_PARTS = 100_000
 LONGEST_PART = 64
 TOGETHER = 8192
+# Places of one array: long parts run in smaller company.
+CELLS = 1_000_000
 
 
 def read_model(path: str) -> tuple[list[str], list[float], dict[int, int]]:
@@ -120,8 +123,10 @@ class Segmenter:
         lengths = np.array([len(t) for t in texts])
         order = np.argsort(-lengths, kind="stable")
         out: list = [None] * len(texts)
-        for low in range(0, len(texts), TOGETHER):
-            rows = order[low : low + TOGETHER]
+        low = 0
+        while low < len(texts):
+            rows = order[low : low + max(1, min(TOGETHER, CELLS // (int(lengths[order[low]]) + 1)))]
+            low += len(rows)
             for i, found in zip(rows.tolist(), self._together([texts[i] for i in rows]), strict=True):
                 out[i] = found
         return out
@@ -200,33 +205,27 @@ class Segmenter:
         return text[1:]
 
 
-_SEGMENTERS: dict[int, Segmenter] = {}
+_SEGMENTERS: dict[str, Segmenter] = {}
 
 
-def _segmenter(shared) -> Segmenter:
-    if shared.id not in _SEGMENTERS:
-        _SEGMENTERS[shared.id] = Segmenter(*shared.value)
-    return _SEGMENTERS[shared.id]
+def _segmenter(name: str, model) -> Segmenter:
+    """A worker keeps the segmenter of one model, by the digest of the model file."""
+    if name not in _SEGMENTERS:
+        _SEGMENTERS.clear()
+        _SEGMENTERS[name] = Segmenter(*model.value)
+    return _SEGMENTERS[name]
 
 
-class _Shared:
-    """A broadcast value with a number that workers can remember it by."""
+def _shared(spark, path: str):
+    """Digest of a model file, and its pieces as a broadcast of a few megabytes."""
+    with open(path, "rb") as file:
+        name = hashlib.sha1(file.read()).hexdigest()
+    return name, spark.sparkContext.broadcast(read_model(path))
 
-    def __init__(self, broadcast):
-        self.broadcast = broadcast
-        self.id = broadcast._jbroadcast.id()
 
-    def __getstate__(self):
-        return {"broadcast": self.broadcast, "id": self.id}
-
-    @property
-    def value(self):
-        return self.broadcast.value
-
-
-def _encode(shared: _Shared):
+def _encode(name: str, model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = _segmenter(shared)
+        segmenter = _segmenter(name, model)
         for batch in batches:
             for low in range(0, len(batch), 500):
                 part = batch.slice(low, 500)
@@ -245,26 +244,22 @@ def _encode(shared: _Shared):
     return run
 
 
-def _shared(spark, model: str) -> _Shared:
-    return _Shared(spark.sparkContext.broadcast(read_model(model)))
-
-
 def encode_pieces(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_pieces, piece_ids, score, restored of every document row.
 
     restored: decoding the ids gives the text back.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(_encode(_shared(docs.sparkSession, model)),
+    return texts.mapInArrow(_encode(*_shared(docs.sparkSession, model)),
                             "doc_id bigint, n_pieces bigint, piece_ids array<int>, score double, restored boolean")
 
 
 def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """(doc_id, text) of (doc_id, piece_ids); null ids give an empty text."""
-    shared = _shared(encoded.sparkSession, model)
+    name, pieces = _shared(encoded.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = _segmenter(shared)
+        segmenter = _segmenter(name, pieces)
         for batch in batches:
             texts = [segmenter.decode(ids or []) for ids in batch.column("piece_ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],

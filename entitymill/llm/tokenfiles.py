@@ -106,8 +106,10 @@ _ENCODERS: dict[int, PartEncoder] = {}
 
 
 def _encoder(shared) -> PartEncoder:
+    """A worker keeps the encoder of one tokenizer."""
     text = shared.value
     if (key := hash(text)) not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[key] = PartEncoder(text)
     return _ENCODERS[key]
 
