@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .skew import lookup_join
 
-MAX_ROUNDS = 200
-
 
 def keep_leaders(
     positions: DataFrame, members: DataFrame, name_edges: DataFrame | None = None
@@ -29,9 +27,8 @@ def keep_leaders(
     if name_edges is not None:
         edges = cut_lineage(name_edges.where("key <> other_key").distinct())
     status = cut_lineage(positions.select("pos", F.lit("open").alias("state")))
-    for _ in range(MAX_ROUNDS):
-        if status.where("state = 'open'").isEmpty():
-            return status.select("pos", (F.col("state") == "kept").alias("kept"))
+    # every round decides the first open position at least, so this ends
+    while not status.where("state = 'open'").isEmpty():
         least = _least_positions(members, status, edges)
         open_members = members.join(status.where("state = 'open'").select("pos"), "pos")
         seen = lookup_join(open_members, least, "key", "pos", "left")
@@ -48,7 +45,7 @@ def keep_leaders(
             .alias("state"),
         )
         status = cut_lineage(decided)
-    raise RuntimeError(f"leaders not settled after {MAX_ROUNDS} rounds")
+    return status.select("pos", (F.col("state") == "kept").alias("kept"))
 
 
 def _least_positions(members: DataFrame, status: DataFrame, edges: DataFrame | None) -> DataFrame:
@@ -109,7 +106,7 @@ def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         .distinct()
     )
     before = None
-    for _ in range(MAX_ROUNDS):
+    while True:  # links only move to smaller nodes, so this ends
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
@@ -136,4 +133,3 @@ def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
                 "id", F.coalesce("component", "id").alias("component")
             )
         before = state
-    raise RuntimeError(f"components not settled after {MAX_ROUNDS} rounds")

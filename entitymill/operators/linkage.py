@@ -118,8 +118,13 @@ def fuzzy_best(records: DataFrame, entities: DataFrame, threshold: float) -> Dat
     )
 
 
-def match_records(records: DataFrame, entities: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Priority match: phone, e-mail, domain with a similar name, similar name in the state.
+def match_records(
+    records: DataFrame, entities: DataFrame, contacts: DataFrame, block: Column | str = "state"
+) -> DataFrame:
+    """Priority match: phone, e-mail, domain with a similar name, similar name in the block.
+
+    block: names are compared within equal values of it, over columns of records and entities.
+    The state by default; a finer one is faster and finds less.
 
     records: record_id, phone, email, domain, name_key, state. entities: entity_id and the same.
     contacts: contact_id, entity_id, phone, email. Fuzzy sees only what no key has matched.
@@ -153,7 +158,7 @@ def match_records(records: DataFrame, entities: DataFrame, contacts: DataFrame)
     )
     rest = records.join(keyed.select("record_id"), "record_id", "left_anti")
     fuzzy = fuzzy_first(
-        _state_prefix(rest, "record_id"), _state_prefix(entities, "entity_id"),
+        in_block(rest, "record_id", block), in_block(entities, "entity_id", block),
         block_ratio(F.col("new_name"), F.col("known_name")), FUZZY_THRESHOLD,
     ).select(
         "record_id", "entity_id", F.lit("fuzzy_name").alias("match_type"),
@@ -162,11 +167,11 @@ def match_records(records: DataFrame, entities: DataFrame, contacts: DataFrame)
     return keyed.unionByName(fuzzy)
 
 
-def _state_prefix(df: DataFrame, id_column: str) -> DataFrame:
-    """Blocks of state and the first three letters; names are compared once more normalised."""
-    block = F.concat("state", F.lit("|"), F.left("name_key", F.lit(3)))
-    named = df.where("state IS NOT NULL AND length(name_key) >= 3")
-    return named.select(id_column, block.alias("block"), company_key("name_key").alias("name"))
+def in_block(df: DataFrame, id_column: str, block: Column | str = "state") -> DataFrame:
+    """Names and their blocks; names are compared once more normalised."""
+    block = F.col(block) if isinstance(block, str) else block
+    return df.select(id_column, block.alias("block"), company_key("name_key").alias("name")).where(
+        "block IS NOT NULL AND name IS NOT NULL")
 
 
 def with_source_type(entities: DataFrame, matched: DataFrame) -> DataFrame:

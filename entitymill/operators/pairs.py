@@ -81,8 +81,8 @@ def candidate_pairs(new: DataFrame, known: DataFrame, threshold: float) -> DataF
     grows with the pairs, not with the bytes: small partitions must not be merged, and the
     pairs are kept, as they cost more than they hold.
     """
-    if threshold < 0.8:
-        raise ValueError("the gram filter is lossless for thresholds of 0.8 and more")
+    if threshold <= 0.8:  # at 0.8 "ab" and "axb" are similar without a gram in common
+        raise ValueError("the gram filter is lossless for thresholds above 0.8 only")
     with setting(new.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
         return cut_lineage(_meeting_names(new, known, threshold))
 

@@ -16,7 +16,7 @@ from .keyed import first_per_key, new_children
 from .linkage import (
     DOMAIN_NAME_THRESHOLD,
     FUZZY_THRESHOLD,
-    _state_prefix,
+    in_block,
     match_records,
 )
 from .pairs import candidate_pairs
@@ -52,7 +52,7 @@ def batch_links(records: DataFrame) -> DataFrame:
         ).alias("key"),
     )
     exact = key_links(members)
-    blocked = cut_lineage(_state_prefix(records, "record_id"))
+    blocked = cut_lineage(in_block(records, "record_id"))
     owners = blocked.groupBy("block", "name").agg(F.min("record_id").alias("owner"))
     # the later name is compared with the earlier one, as in a sequential load
     similar = (

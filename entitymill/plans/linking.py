@@ -233,7 +233,7 @@ def _in_state(df, id_column, id_name, state):
 @query("j13_ranking_links_fuzzy")
 def j13(t):
     """Exact name and state, then similar name in the state; what is left becomes a new entity."""
-    ranks = named_rankings(t).where("headquarters_state IS NOT NULL")
+    ranks = named_rankings(t)  # without a state a ranking matches nothing and is new
     entities = master(t)
     exact = cut_lineage(enrich.rank_links(ranks, entities))
     rest = ranks.join(exact.where("entity_id IS NULL").select("ranking_id"), "ranking_id")
@@ -262,18 +262,20 @@ MAIL_FILL_THRESHOLD = 0.90
 def j14(t):
     """E-mails for licensed entities by name, exact (80) then similar (75); present ones stay."""
     entities = master(t).where("name_key IS NOT NULL")
-    held = t.licenses.where("state = 'FL'").select(F.col("contractor_id").alias("entity_id")).distinct()
-    licensed = cut_lineage(entities.join(held, "entity_id", "left_semi"))
+    held = t.licenses.where("state IS NOT NULL").select(
+        F.col("contractor_id").alias("entity_id"), F.col("state").alias("block")).distinct()
+    licensed = cut_lineage(entities.join(held, "entity_id"))
     donors = cut_lineage(
-        t.dealers.where("state = 'FL'").select(
+        t.dealers.where("state IS NOT NULL").select(
             F.col("dealer_id").alias("record_id"), domains.email_key("email").alias("mail"),
-            names.company_key("name").alias("name"), F.lit("FL").alias("block"),
+            names.company_key("name").alias("name"), F.col("state").alias("block"),
         ).where("mail IS NOT NULL AND name IS NOT NULL")
     )
-    owners = licensed.groupBy(F.col("name_key").alias("name")).agg(F.min("entity_id").alias("entity_id"))
-    exact = donors.join(owners, "name").withColumn("confidence", F.lit(80))
+    owners = licensed.groupBy("block", F.col("name_key").alias("name")).agg(
+        F.min("entity_id").alias("entity_id"))
+    exact = donors.join(owners, ["block", "name"]).withColumn("confidence", F.lit(80))
     rest = donors.join(exact.select("record_id"), "record_id", "left_anti")
-    known = owners.select("entity_id", F.lit("FL").alias("block"), "name")
+    known = owners.select("entity_id", "block", "name")
     fuzzy = linkage.fuzzy_first(
         rest.select("record_id", "block", "name"), known,
         block_ratio(F.col("new_name"), F.col("known_name")), MAIL_FILL_THRESHOLD,
@@ -283,7 +285,7 @@ def j14(t):
     best = offers.groupBy("entity_id").agg(
         F.min_by(F.struct("mail", "confidence"), "record_id").alias("o")
     )
-    return licensed.join(best, "entity_id").select(
+    return licensed.drop("block").distinct().join(best, "entity_id").select(
         "entity_id", F.coalesce("email", "o.mail").alias("email"),
         F.col("email").isNull().alias("was_filled"), "o.confidence",
     )

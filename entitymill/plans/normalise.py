@@ -316,7 +316,7 @@ def f07(t):
 @query(
     "f08_access_tier",
     """SELECT state, access_tier, entities FROM (
-         SELECT state, count(*) AS entities, CASE WHEN count(*) > 60 THEN 'BULK' WHEN count(*) > 55
+         SELECT state, count(*) AS entities, CASE ascii(state) % 3 WHEN 0 THEN 'BULK' WHEN 1
          THEN 'API' ELSE 'SCRAPER' END AS access_tier FROM contractors GROUP BY state)
        WHERE access_tier = 'BULK'""",
 )
@@ -324,8 +324,8 @@ def f08(t):
     sizes = t.contractors.groupBy("state").agg(F.count("*").alias("entities"))
     config = sizes.withColumn(
         "access_tier",
-        F.when(F.col("entities") > 60, "BULK")
-        .when(F.col("entities") > 55, "API")
+        F.when(F.ascii("state") % 3 == 0, "BULK")
+        .when(F.ascii("state") % 3 == 1, "API")
         .otherwise("SCRAPER"),
     )
     return filters.of_access_tier(config, "BULK").select("state", "access_tier", "entities")

@@ -160,7 +160,7 @@ def batch(t):
     """The loaded registry rows as an upsert batch, numbered by row and class position."""
     position = F.coalesce(F.col("class_no"), F.lit(0))
     return loaded_registries(t).select(
-        (F.col("row_no") * 1024 + position).alias("record_id"),
+        (F.col("row_no") * (1 << 31) + position).alias("record_id"),
         "company_name", "contact_name", "city", "state", "zip",
         "license_type", "license_category", "license_number",
         phones.phone10("phone").alias("phone"), F.lower(text.clean("email")).alias("email"),

@@ -95,7 +95,7 @@ def test_fuzzy_leaders_equal_the_loop(spark):
     assert {r.pos for r in leaders_by_name(df).where("kept").collect()} == want
 
 
-@pytest.mark.parametrize("threshold", [0.8, 0.85, 0.9])
+@pytest.mark.parametrize("threshold", [0.81, 0.85, 0.9])
 def test_candidate_pairs_lose_nothing(spark, threshold):
     rng = random.Random(7)
     names = {typo(rng, typo(rng, " ".join(rng.sample(WORDS, rng.choice([1, 2]))))) for _ in range(150)}
@@ -194,3 +194,10 @@ def test_quota_and_newest_keep_the_best(spark):
     assert sorted(r.id for r in numbering.quota_per_group(df, quotas, "g", "id", 3).collect()) == [0, 1, 2, 900]
     newest = numbering.newest_per_group(df, "g", [F.desc("id")], "id", 2)
     assert sorted(r.id for r in newest.collect()) == [898, 899, 998, 999]
+
+
+def test_threshold_of_four_fifths_is_refused(spark):
+    # "ab" and "axb" reach 0.8 without a two-letter gram in common
+    names = spark.createDataFrame([("b", "ab"), ("b", "axb")], "block string, name string")
+    with pytest.raises(ValueError, match="above 0.8"):
+        pairs.candidate_pairs(names, names, 0.8)
