@@ -37,8 +37,8 @@ from . import textbytes as tb
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 SHARD_IDS = 1_000_000
-# Parts remembered by a worker, and the longest of them: some 50 MB.
-MEMORY_PARTS = 300_000
+# Parts remembered by a worker, and the longest of them: some 200 MB.
+MEMORY_PARTS = 1_000_000
 LONGEST_PART = 64
 
 _SHARDS = (f"first struct<doc_id:bigint,tie:bigint,part:bigint>, doc_ids array<bigint>, n_ids bigint, "
