@@ -47,7 +47,7 @@ CASES = [
     ("webmail is no domain", "Zzyzx", "other@gmail.com", None, "FL", None),
     ("similar name in the state", "Gulf Plumbing Partner", None, None, "FL", (3, "fuzzy_name")),
     ("similar name in another state", "Gulf Plumbing Partner", None, None, "GA", None),
-    ("other first letters", "The Gulf Plumbing Partners", None, None, "FL", None),
+    ("other first letters", "The Gulf Plumbing Partners", None, None, "FL", (3, "fuzzy_name")),
 ]
 
 
@@ -58,6 +58,9 @@ def test_priority_match(spark):
     found = {r.record_id: (r.entity_id, r.match_type) for r in got.collect()}
     for i, case in enumerate(CASES):
         assert found.get(i) == case[5], case[0]
+    finer = F.concat("state", F.lit("|"), F.left("name_key", F.lit(3)))
+    got = linkage.match_records(record(spark, rows), entities(spark, KNOWN), contacts(spark, known_contacts), finer)
+    assert len(CASES) - 1 not in {r.record_id for r in got.collect()}
 
 
 def test_upsert_end_to_end(spark):
