@@ -56,20 +56,20 @@ def windows(units: DataFrame, window: int = WINDOW) -> DataFrame:
     mark, spot: the fingerprint's hash and unit number; first, last: line numbers.
     """
     size = F.least(F.size("units"), F.lit(window))
+
+    def one(start: Column) -> Column:
+        part = F.slice("units", start + 1, size)
+        return F.struct(
+            F.array_min(F.transform(
+                part, lambda u, j: F.struct(u["h"].alias("mark"), (start + j).alias("spot")))).alias("least"),
+            F.element_at(part, 1)["line"].alias("first"), F.element_at(part, -1)["line"].alias("last"),
+            F.xxhash64(F.transform(part, lambda u: u["h"])).alias("h"),
+            F.xxhash64(F.transform(part, lambda u: u["g"])).alias("g"))
+
+    # only windows leave the explosion: a very long text is not copied along with each of them
     starts = F.sequence(F.lit(0), F.size("units") - size)
-    chosen = F.transform(
-        starts,
-        lambda i: F.array_min(F.transform(
-            F.slice("units", i + 1, size), lambda u, j: F.struct(u["h"].alias("mark"), (i + j).alias("spot")))),
-    )
-    held = units.select("key", "units", size.alias("size"), F.posexplode(chosen).alias("start", "mark"))
-    part = F.slice("units", F.col("start") + 1, F.col("size"))
-    return held.select(
-        "key", "mark.mark", "mark.spot",
-        F.element_at(part, 1)["line"].alias("first"), F.element_at(part, -1)["line"].alias("last"),
-        F.xxhash64(F.transform(part, lambda u: u["h"])).alias("h"),
-        F.xxhash64(F.transform(part, lambda u: u["g"])).alias("g"),
-    )
+    return units.select("key", F.explode(F.transform(starts, one)).alias("w")).select(
+        "key", "w.least.mark", "w.least.spot", "w.first", "w.last", "w.h", "w.g")
 
 
 def _place(key: str, first: str) -> Column:
@@ -115,14 +115,26 @@ def deleted_runs(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     return again.groupBy("key").agg(merged_runs(spans).alias("runs"))
 
 
+def _between(lines: Column, runs: Column) -> Column:
+    """The lines outside the runs, as slices between one run and the next: linear in both."""
+
+    def gap(every: Column, j: Column) -> Column:
+        low = F.coalesce(F.get(runs, j - 1)["high"] + 1, F.lit(0))
+        return F.slice(every, low + 1, F.coalesce(F.get(runs, j)["low"], F.size(every)) - low)
+
+    # a lambda's argument is computed once, the lines would be cut anew for every run otherwise
+    return F.element_at(F.transform(
+        F.array(lines),
+        lambda every: F.flatten(F.transform(F.sequence(F.lit(0), F.size(runs)), lambda j: gap(every, j)))), 1)
+
+
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(row, key, n_lines, n_removed, kept): every document row as it came, and what is left of it."""
     # the join of the texts is the same at every size
     runs = keep_table(deleted_runs(tb.keyed_texts(docs), window), "line-runs").hint("merge")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), tb.row_key())
     text = F.col("row")["text"].cast("string")
-    kept = F.filter(
-        _lines(text), lambda _, i: ~F.exists("runs", lambda r: (r["low"] <= i) & (i <= r["high"])))
+    kept = _between(_lines(text), F.col("runs"))
     return rows.join(runs, "key", "left").select(
         "row", "key",
         F.coalesce(F.size(_lines(text)), F.lit(0)).alias("n_lines"),
