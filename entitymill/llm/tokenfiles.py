@@ -10,7 +10,7 @@ A text is encoded in parts: cut at spaces and line ends, and, where a text has o
 digits and ASCII signs but no apostrophe and no `<|`, between runs of letters and digits and the
 signs around them. The tokenizer cuts at these places itself and nothing looks across them, so the
 parts' ids joined are the ids of the whole text. Parts seen before come from a bounded memory; new
-words of letters are encoded many in one call and told apart by their word-end tokens.
+words of letters are normalised together and given to the tokenizer's model one by one.
 
 Defined cases: null and empty texts give the end id alone; rows without doc_id come first, equal
 doc_ids are ordered by a hash of their texts, equal rows are interchangeable; other columns are
@@ -23,6 +23,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -64,23 +65,30 @@ class PartEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
-    def _words(self, words: list[str]) -> Iterator[bytes]:
-        """Words of Latin letters: joined by spaces, each ends where its word-end token does."""
+    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words of Latin letters, normalised together: each is one piece of the tokenizer's cut and
+        goes straight to the model. ASCII letters are the model's symbols as they are."""
+        model, normalizer = self.tokenizer.model, self.tokenizer.normalizer
+        words = sorted(words, key=str.isascii)
         for low in range(0, len(words), 1000):
             some = words[low : low + 1000]
-            ids = self._ids([" ".join(some)])[0]
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            parts = np.split(ids, cuts[:-1]) if len(cuts) == len(some) and cuts[-1] == len(ids) else self._ids(some)
-            yield from (x.tobytes() for x in parts)
+            plain = " ".join(some)
+            plain = normalizer.normalize_str(plain) if normalizer else plain
+            plain = plain.split(" ") if plain.isascii() else [
+                x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
+            if len(plain) != len(some):  # a letter that normalises to a letter and a sign
+                yield from zip(some, self._encode(some), strict=True)
+                continue
+            found = [[t.id for t in model.tokenize(p)] for p in plain]
+            ids = np.array([i for f in found for i in f], "<u4").tobytes()
+            ends = np.cumsum([0, *map(len, found)]) * 4
+            yield from zip(some, (ids[x:y] for x, y in pairwise(ends.tolist())), strict=True)
 
     def _encode(self, parts: list[str]) -> Iterator[bytes]:
         for low in range(0, len(parts), 5000):
@@ -90,16 +98,20 @@ class PartEncoder:
         split = [cut_parts(t) for t in texts]
         if len(self.known) > MEMORY_PARTS:
             self.known = {}
-        fresh = set().union(*split).difference(self.known)
+        found = [list(map(self.known.get, parts)) for parts in split]
+        fresh = {p for parts, ids in zip(split, found, strict=True) if None in ids
+                 for p, i in zip(parts, ids, strict=True) if i is None}
+        if not fresh:
+            return [b"".join(ids) for ids in found]
         words = [p for p in fresh if p.isalpha() and len(p) <= LONGEST_PART and not _UNSAFE.search(p)]
         short = [p for p in fresh.difference(words) if len(p) <= LONGEST_PART]
         long = [p for p in fresh if len(p) > LONGEST_PART]
-        self.known.update(zip(words, self._words(words), strict=True))
+        self.known.update(self._words(words))
         self.known.update(zip(short, self._encode(short), strict=True))
         rare = dict(zip(long, self._encode(long), strict=True))
-        if rare:
-            return [b"".join([self.known[p] if p in self.known else rare[p] for p in parts]) for parts in split]
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+        return [b"".join([i if i is not None else self.known[p] if p in self.known else rare[p]
+                          for p, i in zip(parts, ids, strict=True)]) if None in ids else b"".join(ids)
+                for parts, ids in zip(split, found, strict=True)]
 
 
 _ENCODERS: dict[int, PartEncoder] = {}
