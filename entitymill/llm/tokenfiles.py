@@ -1,6 +1,7 @@
 """Token-ID output: documents as shards of patched frame-of-reference blocks.
 
-Texts are range-partitioned by doc_id and sorted, each task encodes its texts and cuts the ids
+Texts are range-partitioned by doc_id (and a hash of the text, so that one id or null may hold a
+third of the rows) and sorted, each task encodes its texts and cuts the ids
 into shards at document ends. A shard is one file image: the ids as one stream, the document
 lengths as another (see pfor). Shards are rows of a Parquet table in the shared folder: Spark's
 committers keep it whole when an executor is lost. A shard is found by its first document; the
@@ -169,7 +170,7 @@ def write_shards(
                         F.xxhash64(F.col("text").cast("string")).alias("tie"),
                         F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "tie")
+    ordered = texts.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     return keep_table(ordered.mapInArrow(_write(shared, end_id, shard_ids), _SHARDS), "shards")
 
 
