@@ -119,6 +119,15 @@ RATED_COMMERCIAL = {"Trane": 50, "Rheem": 100}
 RATED_FLOOR = 4.5
 RESIDENTIAL_UNLESS_COMMERCIAL = ["Honeywell Home", "Sensi", "Trane", "Growatt"]
 
+# The brands that enter a dealer's product sets, and their names there.
+GENERATOR_SET = ["Briggs & Stratton", "Cummins", "Kohler"]
+BATTERY_SET = ["Generac", "Briggs & Stratton", "Tesla", "Enphase", "SolarEdge", "Fronius", "Sol-Ark",
+               "SimpliPhi", "Sungrow", "GoodWe", "Growatt"]
+INVERTER_SET = ["Tesla", "Enphase", "SolarEdge", "SMA", "Fronius", "Sol-Ark", "Sungrow", "GoodWe",
+                "Growatt", "Tigo"]
+SET_NAMES = {"Mitsubishi": "Mitsubishi Electric", "Tigo": "Tigo Energy"}
+BRAND_SETS = ["oem_certifications", "generator_oems", "battery_oems", "microinverter_oems", "inverter_oems"]
+
 
 def brand_flags(df: DataFrame, brand: str = "brand") -> DataFrame:
     """Flags that follow from the brand alone."""
@@ -160,6 +169,38 @@ def directory_flags(df: DataFrame) -> DataFrame:
     return flagged.withColumn("is_residential", F.col("is_residential") | default)
 
 
+def brand_sets(df: DataFrame) -> DataFrame:
+    """Certified brands and brands per product of one directory row with its flags, as sorted arrays.
+
+    No directory fills microinverter_oems. An Enphase row also says whether it runs maintenance.
+    """
+    brand = F.col("brand")
+    own = F.coalesce(*[F.when(brand == b, F.lit(n)) for b, n in SET_NAMES.items()], brand)
+    known = brand.isin(sorted({b for b, *_ in BRAND_RULES}))
+    partner = F.when((brand == "SimpliPhi") & F.col("has_generator"), "Briggs & Stratton")
+
+    def held(*names: Column) -> Column:
+        return F.array_sort(F.array_compact(F.array(*names)))
+
+    return df.withColumns({
+        "oem_certifications": held(F.when(known, own), partner),
+        "generator_oems": held(F.when(brand.isin(GENERATOR_SET) & F.col("has_generator"), own)),
+        "battery_oems": held(F.when(brand.isin(BATTERY_SET) & F.col("has_battery"), own)),
+        "microinverter_oems": F.array().cast("array<string>"),
+        "inverter_oems": held(F.when(brand.isin(INVERTER_SET), own)),
+        "has_ops_maintenance": F.coalesce((brand == "Enphase") & has_any(F.col("certifications"), ["o&m"]),
+                                          F.lit(False)),
+    })
+
+
+def brand_sets_per_entity(rows: DataFrame, key: str) -> DataFrame:
+    """The sets of all rows of a key in one; a brand is in each at most once, so they stay short."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in BRAND_SETS],
+        F.bool_or("has_ops_maintenance").alias("has_ops_maintenance"),
+    )
+
+
 def high_value_types(df: DataFrame) -> DataFrame:
     """O&M, four-trade and fire/security flags from name, certifications and tier."""
     text = F.concat_ws(" ", "name", "certifications", "tier")

@@ -230,19 +230,31 @@ def brand_tiers(certifications: DataFrame) -> DataFrame:
 
 
 def multi_licence_by(rows: DataFrame, key: Column) -> DataFrame:
-    """Company or mail key with two or more categories: types, categories, first three names."""
-    return (
-        rows.withColumn("key", key)
-        .where("key IS NOT NULL")
-        .groupBy("key")
+    """Company or mail key with two or more categories: what it holds, who and where it is.
+
+    first_names are the three least names; the address is the least one, as files have no order.
+    """
+    keyed = rows.withColumn("key", key).where("key IS NOT NULL")
+    # the limit of three is applied before rows of a key meet
+    least = Window.partitionBy("key").orderBy("contact_name")
+    named = (
+        keyed.where("contact_name IS NOT NULL").select("key", "contact_name").distinct()
+        .withColumn("n", F.row_number().over(least)).where("n <= 3")
+        .groupBy("key").agg(join_sorted(F.collect_list("contact_name"), "; ").alias("first_names"))
+    )
+    held = (
+        keyed.withColumn("email", F.upper("email")).groupBy("key")
         .agg(
             F.countDistinct("license_category").alias("category_count"),
             distinct_list("license_category", ", ").alias("categories"),
             distinct_list("license_type", ", ").alias("types"),
-            F.min("contact_name").alias("first_contact"),
+            distinct_list("email", ", ").alias("emails"),
+            distinct_list("company_name", "; ").alias("companies"),
+            F.min(F.concat_ws(", ", "address", "city", "state", "zip")).alias("address"),
         )
         .where("category_count >= 2")
     )
+    return held.join(named, "key", "left")
 
 
 def before_after(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -299,9 +299,15 @@ def _florida(t):
 
 
 def _multi_by(key: str) -> str:
-    return f"""WITH {FL_ROWS} SELECT {key} AS key, count(DISTINCT license_category) AS category_count, string_agg(DISTINCT license_category, ', ' ORDER BY license_category) AS categories,
-        string_agg(DISTINCT license_type, ', ' ORDER BY license_type) AS types, min(contact_name) AS first_contact FROM fl WHERE {key} IS NOT NULL GROUP BY 1
-        HAVING count(DISTINCT license_category) >= 2"""
+    return f"""WITH {FL_ROWS}, k AS (SELECT *, {key} AS key FROM fl WHERE {key} IS NOT NULL),
+        first3 AS (SELECT key, contact_name FROM (SELECT DISTINCT key, contact_name FROM k WHERE contact_name IS NOT NULL)
+        QUALIFY row_number() OVER (PARTITION BY key ORDER BY contact_name) <= 3),
+        n AS (SELECT key, string_agg(contact_name, '; ' ORDER BY contact_name) AS first_names FROM first3 GROUP BY 1),
+        h AS (SELECT key, count(DISTINCT license_category) AS category_count, string_agg(DISTINCT license_category, ', ' ORDER BY license_category) AS categories,
+        string_agg(DISTINCT license_type, ', ' ORDER BY license_type) AS types, coalesce(string_agg(DISTINCT upper(email), ', ' ORDER BY upper(email)), '') AS emails,
+        coalesce(string_agg(DISTINCT company_name, '; ' ORDER BY company_name), '') AS companies, min(concat_ws(', ', address, city, state, zip)) AS address
+        FROM k GROUP BY 1 HAVING count(DISTINCT license_category) >= 2)
+        SELECT h.*, n.first_names FROM h LEFT JOIN n USING (key)"""
 
 
 @query("a23_multi_licence_by_company", _multi_by(duck.company_key_cut("company_name", fixed.CUT_ANYWHERE_SHORT)))

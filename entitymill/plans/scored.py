@@ -495,6 +495,52 @@ def c02b(t):
     return rows.groupBy("phone_key").agg(*[F.bool_or(f).alias(f) for f in capabilities.FLAGS])
 
 
+# written out brand by brand, not derived from the operator's lists
+SETS_SQL = """sets AS (SELECT dealer_id, has_o_m AS has_ops_maintenance,
+    CASE brand WHEN 'Mitsubishi' THEN 'Mitsubishi Electric' WHEN 'Tigo' THEN 'Tigo Energy' ELSE brand END AS certified,
+    CASE WHEN brand = 'SimpliPhi' AND contains(lower(certifications), 'generators') THEN 'Briggs & Stratton' END AS partner,
+    CASE WHEN brand IN ('Cummins', 'Kohler') THEN brand
+         WHEN brand = 'Briggs & Stratton' AND contains(lower(certifications), 'standby generators') THEN brand END AS generator,
+    CASE WHEN brand IN ('Tesla', 'Sol-Ark', 'SimpliPhi') THEN brand
+         WHEN brand = 'Generac' AND (tier IN ('Premier', 'Elite Plus', 'Elite') OR contains(lower(certifications), 'powerpro premier')) THEN brand
+         WHEN brand = 'Briggs & Stratton' AND (contains(lower(certifications), 'battery storage') OR contains(lower(tier), 'elite iq')) THEN brand
+         WHEN brand IN ('Enphase', 'SolarEdge') AND contains(lower(certifications), 'storage') THEN brand
+         WHEN brand = 'Fronius' AND (contains(lower(certifications), 'battery storage') OR contains(lower(certifications), 'hybrid systems')) THEN brand END AS battery,
+    CASE brand WHEN 'Tesla' THEN brand WHEN 'Enphase' THEN brand WHEN 'SolarEdge' THEN brand WHEN 'SMA' THEN brand WHEN 'Fronius' THEN brand
+         WHEN 'Sol-Ark' THEN brand WHEN 'Tigo' THEN 'Tigo Energy' END AS inverter
+    FROM (SELECT *, brand = 'Enphase' AND contains(lower(certifications), 'o&m') AS has_o_m FROM dealers))"""
+SET_COLUMNS = ["oem_certifications", "generator_oems", "battery_oems", "inverter_oems"]
+
+
+@query(
+    "c02c_brand_sets",
+    f"""WITH {SETS_SQL} SELECT dealer_id, CASE WHEN partner IS NULL THEN certified ELSE partner || ', ' || certified END AS oem_certifications,
+        coalesce(generator, '') AS generator_oems, coalesce(battery, '') AS battery_oems, coalesce(inverter, '') AS inverter_oems,
+        coalesce(has_ops_maintenance, false) AS has_ops_maintenance FROM sets""",
+)
+def c02c(t):
+    return capabilities.brand_sets(capable(t)).select(
+        "dealer_id", *[F.array_join(c, ", ").alias(c) for c in SET_COLUMNS], "has_ops_maintenance"
+    )
+
+
+@query(
+    "c02d_brand_sets_per_entity",
+    f"""WITH {DK}, {SETS_SQL}, long AS (SELECT dealer_id, unnest([certified, partner]) AS held FROM sets)
+        SELECT phone_key, string_agg(DISTINCT held, ', ' ORDER BY held) AS oem_certifications,
+        coalesce(string_agg(DISTINCT generator, ', ' ORDER BY generator), '') AS generator_oems,
+        coalesce(string_agg(DISTINCT battery, ', ' ORDER BY battery), '') AS battery_oems,
+        coalesce(string_agg(DISTINCT inverter, ', ' ORDER BY inverter), '') AS inverter_oems,
+        bool_or(coalesce(has_ops_maintenance, false)) AS has_ops_maintenance
+        FROM sets JOIN long USING (dealer_id) JOIN dk USING (dealer_id) WHERE phone_key IS NOT NULL GROUP BY phone_key""",
+)
+def c02d(t):
+    rows = capabilities.brand_sets(capable(t)).withColumn("phone_key", phone10("phone"))
+    return capabilities.brand_sets_per_entity(rows, "phone_key").select(
+        "phone_key", *[F.array_join(c, ", ").alias(c) for c in SET_COLUMNS], "has_ops_maintenance"
+    )
+
+
 @query(
     "c03_trade_count",
     f"""WITH {CAPS} SELECT dealer_id, CAST(len(tr) AS INT) AS trade_count, len(tr) >= 2 AS is_multi_trade,
