@@ -96,10 +96,11 @@ def src05(t):
 
 @query("src06_newest_file")
 def src06(t):
-    """Three runs of the directory list; the file of the last run wins."""
+    """Three runs of the directory list, a file per task; the newest file is one of the last run."""
     path = scratch_dir(t.spark, "src06")
+    rows = _plain(t)
     for run in range(3):
-        _plain(t).coalesce(1).write.mode("append").option("header", True).csv(f"{path}/run={run}")
+        rows.write.mode("append").option("header", True).csv(f"{path}/run={run}")
     return files.newest_file(t.spark, f"{path}/run=*/*.csv").select(
         F.regexp_extract("path", "run=([0-9]+)", 1).alias("run")
     )

@@ -44,7 +44,7 @@ class Tables:
             return self.raw(name)
         if name not in standins.TABLES:
             raise AttributeError(name)
-        if "nm" not in standins.TABLES[name]:
+        if name not in standins.HEAVY:
             return self._derived(name)
         return self.spark.read.parquet(self._written(name))
 

@@ -136,6 +136,9 @@ def cents(x: str) -> str:
 C, O, P, S = "c_custkey", "o_orderkey", "p_partkey", "s_suppkey"
 K = "o_custkey"
 
+# Tables of long string expressions, written once per application instead of derived in each query.
+HEAVY = {"dealers", "contractors", "licenses", "certifications", "contacts", "registry", "rankings", "members",
+         "imports"}
 TABLES: dict[str, str] = {
     # brand directory records, one per customer
     "dealers": f"""
