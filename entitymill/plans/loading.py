@@ -83,18 +83,16 @@ def src05(t):
     for shape, key in [("dir_1", "dealers"), ("dir_2", "contractors"), ("dir_3", "data")]:
         wrapped = F.concat(F.lit('{"%s":' % key), "body", F.lit("}"))
         doc = doc.when(F.col("source_file") == shape, wrapped)
-    groups.select("source_file", "part", doc.alias("value")).write.partitionBy(
-        "source_file", "part"
-    ).text(path)
+    groups.select("source_file", doc.alias("value")).write.partitionBy("source_file").text(path)
     record = T.StructType([
         T.StructField("dealer_id", T.LongType()),
         T.StructField("city", T.StringType()),
         T.StructField("state", T.StringType()),
     ])
-    return files.read_json_records(t.spark, f"{path}/source_file=*/part=*", record)
+    return files.read_json_records(t.spark, f"{path}/source_file=*", record, per_line=True)
 
 
-@query("src06_newest_file")
+@query("src06_newest_file", "SELECT '2' AS run")
 def src06(t):
     """Three runs of the directory list, a file per task; the newest file is one of the last run."""
     path = scratch_dir(t.spark, "src06")

@@ -69,11 +69,16 @@ def read_wide_rows(
     )
 
 
-def read_json_records(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """JSON documents that are a list of records, or hold the list under a known key."""
+def read_json_records(
+    spark: SparkSession, path: str, record: T.StructType, per_line: bool = False
+) -> DataFrame:
+    """JSON documents that are a list of records, or hold the list under a known key.
+
+    A file is one document, or holds one per line, which a large file needs to be read in parts.
+    """
     nested = [T.StructField(k, T.ArrayType(record)) for k in JSON_LIST_KEYS]
     schema = T.StructType([*record.fields, *nested])
-    docs = spark.read.schema(schema).option("multiLine", True).json(path)
+    docs = spark.read.schema(schema).option("multiLine", not per_line).json(path)
     own = F.struct(*[F.col(f.name) for f in record.fields])
     records = F.coalesce(*[F.col(k) for k in JSON_LIST_KEYS], F.array(own))
     return docs.select(F.inline(records))

@@ -49,6 +49,9 @@ def test_short_rows_and_json_shapes(spark, tmp_path):
     schema = spark.createDataFrame([], "n STRING").schema
     names = {r.n for r in files.read_json_records(spark, str(tmp_path / "*.json"), schema).collect()}
     assert names == {"a", "b", "c", "d"}
+    (tmp_path / "many.txt").write_text('[{"n": "a"}, {"n": "b"}]\n{"data": [{"n": "c"}]}\n{"n": "d"}\n')
+    names = [r.n for r in files.read_json_records(spark, str(tmp_path / "many.txt"), schema, per_line=True).collect()]
+    assert sorted(names) == ["a", "b", "c", "d"]
 
 
 def test_file_names(spark):
