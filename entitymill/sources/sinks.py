@@ -15,9 +15,10 @@ def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
 
 
 def write_json_with_header(df: DataFrame, path: str, **header: object) -> None:
-    """Records as JSON lines, next to a one-row header with the totals."""
+    """Records as JSON lines, next to a one-row header with the totals of what was written."""
     df.write.json(f"{path}/records")
-    head = df.agg(F.count(F.lit(1)).alias("total_records"))
+    # a record is a line; the plan of df does not run again
+    head = df.sparkSession.read.text(f"{path}/records").agg(F.count(F.lit(1)).alias("total_records"))
     head.select("*", *[F.lit(v).alias(k) for k, v in header.items()]).write.json(f"{path}/metadata")
 
 
