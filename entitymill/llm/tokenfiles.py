@@ -7,8 +7,8 @@ lengths as another (see pfor). Shards are rows of a Parquet table in the shared
 committers keep it whole when an executor is lost. A shard is found by its first document; the
 places of all documents follow from sums over the shards, one small row each.
 
-A text is encoded in parts: cut at spaces and line ends, and, where a text has only Latin letters,
-digits and ASCII signs but no apostrophe and no `<|`, between runs of letters and digits and the
+A text is encoded in parts: cut at spaces and line ends, and, where a text has only Latin letters (but
+no dotted capital I), digits and ASCII signs but no apostrophe and no `<|`, between runs of letters and digits and the
 signs around them. The tokenizer cuts at these places itself and nothing looks across them, so the
 parts' ids joined are the ids of the whole text. Parts seen before come from a bounded memory; new
 words of letters are normalised together and given to the tokenizer's model one by one.
@@ -47,7 +47,8 @@ _SHARDS = (f"first struct<doc_id:bigint,tie:bigint,part:bigint>, doc_ids array<b
            "ids binary, lengths binary")
 
 
-_UNSAFE = re.compile(r"['×÷\u0080-\u00bf\u0250-\U0010ffff]|<\|")
+# U+0130 becomes two characters in lower case, and the second one joins a sign that follows.
+_UNSAFE = re.compile(r"['×÷\u0080-\u00bf\u0130\u0250-\U0010ffff]|<\|")
 _RUNS = re.compile(r"[0-9A-Za-zÀ-ɏ]+|[^0-9A-Za-zÀ-ɏ \n]+")
 
 
