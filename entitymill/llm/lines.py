@@ -9,7 +9,9 @@ stood earlier, in a smaller doc_id or further up in its text, is repeated; the r
 windows, joined where they overlap, are deleted with the blank lines inside. The first place of
 every run stays.
 
-A text with fewer units than a window, but at least one, is a window of its own.
+A text with fewer units than a window, but at least one, is a window of its own. With `words`, so is
+every run of fewer units that holds as many words: a long line or two need no third one to be found
+again. Short lines still do.
 
 Line and window equality is that of two independent 64-bit hashes each.
 
@@ -37,27 +39,33 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def line_units(texts: DataFrame) -> DataFrame:
-    """(key, units) of (key, text); a unit has its line number and two hashes."""
+def _n_words(line: Column) -> Column:
+    return F.size(F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+
+
+def line_units(texts: DataFrame, words: int | None = None) -> DataFrame:
+    """(key, units) of (key, text); a unit has its line number, two hashes, and with `words` its words."""
+    more = (lambda line: [_n_words(line).alias("words")]) if words else lambda line: []
     numbered = F.transform(
         _lines(F.col("text")),
         lambda line, i: F.struct(
             i.cast("int").alias("line"), F.xxhash64(line).alias("h"), F.xxhash64(F.lit("second"), line).alias("g"),
-            (F.length(F.trim(line)) > 0).alias("unit")),
+            (F.length(F.trim(line)) > 0).alias("unit"), *more(line)),
     )
+    names = ["line", "h", "g", *(["words"] if words else [])]
     units = F.transform(F.filter(numbered, lambda u: u["unit"]),
-                        lambda u: F.struct(u["line"].alias("line"), u["h"].alias("h"), u["g"].alias("g")))
+                        lambda u: F.struct(*[u[n].alias(n) for n in names]))
     return texts.where("text IS NOT NULL").select("key", units.alias("units")).where(F.size("units") > 0)
 
 
-def windows(units: DataFrame, window: int = WINDOW) -> DataFrame:
+def windows(units: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """(key, mark, spot, first, last, h, g): each window with its fingerprint and content hashes.
 
     mark, spot: the fingerprint's hash and unit number; first, last: line numbers.
     """
-    size = F.least(F.size("units"), F.lit(window))
+    whole = F.least(F.size("units"), F.lit(window))
 
-    def one(start: Column) -> Column:
+    def one(start: Column, size: Column = whole) -> Column:
         part = F.slice("units", start + 1, size)
         return F.struct(
             F.array_min(F.transform(
@@ -66,9 +74,18 @@ def windows(units: DataFrame, window: int = WINDOW) -> DataFrame:
             F.xxhash64(F.transform(part, lambda u: u["h"])).alias("h"),
             F.xxhash64(F.transform(part, lambda u: u["g"])).alias("g"))
 
+    def brief(n: int) -> Column:
+        """The runs of n units that hold the words; none where a window is as short."""
+        held = lambda start: F.aggregate(
+            F.slice("units", start + 1, F.lit(n)), F.lit(0), lambda a, u: a + u["words"])
+        starts = F.when(F.size("units") > n, F.sequence(F.lit(0), F.size("units") - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(F.filter(starts, lambda start: held(start) >= words), lambda start: one(start, F.lit(n)))
+
     # only windows leave the explosion: a very long text is not copied along with each of them
-    starts = F.sequence(F.lit(0), F.size("units") - size)
-    return units.select("key", F.explode(F.transform(starts, one)).alias("w")).select(
+    found = F.transform(F.sequence(F.lit(0), F.size("units") - whole), lambda start: one(start))
+    if words:
+        found = F.concat(found, *[brief(n) for n in range(1, window)])
+    return units.select("key", F.explode(found).alias("w")).select(
         "key", "w.least.mark", "w.least.spot", "w.first", "w.last", "w.h", "w.g")
 
 
@@ -77,9 +94,9 @@ def _place(key: str, first: str) -> Column:
     return F.struct(F.col(key)["doc_id"].isNull().alias("absent"), F.col(key).alias("key"), F.col(first).alias("first"))
 
 
-def repeated_windows(units: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_windows(units: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """(key, first, last): windows that stand earlier as well."""
-    found = keep_table(windows(units, window), "line-windows")
+    found = keep_table(windows(units, window, words), "line-windows")
     # fingerprints that occur at more than one place
     marks = keep_table(
         found.groupBy("mark").agg(F.min(F.struct("key", "spot")).alias("a"), F.max(F.struct("key", "spot")).alias("b"))
@@ -108,9 +125,9 @@ def merged_runs(runs: Column) -> Column:
     )
 
 
-def deleted_runs(texts: DataFrame, window: int = WINDOW) -> DataFrame:
+def deleted_runs(texts: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """(key, runs) of the texts that lose lines; runs are (low, high) line numbers."""
-    again = repeated_windows(keep_table(line_units(texts), "line-units"), window)
+    again = repeated_windows(keep_table(line_units(texts, words), "line-units"), window, words)
     spans = F.array_sort(F.collect_set(F.struct(F.col("first").alias("low"), F.col("last").alias("high"))))
     return again.groupBy("key").agg(merged_runs(spans).alias("runs"))
 
@@ -128,10 +145,10 @@ def _between(lines: Column, runs: Column) -> Column:
         lambda every: F.flatten(F.transform(F.sequence(F.lit(0), F.size(runs)), lambda j: gap(every, j)))), 1)
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """(row, key, n_lines, n_removed, kept): every document row as it came, and what is left of it."""
     # the join of the texts is the same at every size
-    runs = keep_table(deleted_runs(tb.keyed_texts(docs), window), "line-runs").hint("merge")
+    runs = keep_table(deleted_runs(tb.keyed_texts(docs), window, words), "line-runs").hint("merge")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), tb.row_key())
     text = F.col("row")["text"].cast("string")
     kept = _between(_lines(text), F.col("runs"))
