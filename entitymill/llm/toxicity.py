@@ -19,7 +19,7 @@ of a score.
 
 Defined cases: null and empty texts have no tokens and get the score of a document without
 probabilities; rows without a label are scored only; repeated labels of a document are taken at
-their largest; repeated document rows are scored each; without a toxic or without a clean training
+their largest; repeated document rows are scored each, but learnt from once by doc_id (the least text hash); without a toxic or without a clean training
 document every score is 0; other columns are ignored.
 """
 
@@ -177,15 +177,19 @@ def _training_chains(bins: np.ndarray, lexicon: np.ndarray):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of at most `most` labelled documents that are not held out."""
+    """(text, toxic) of at most `most` labelled documents that are not held out, one row each."""
     chosen = (
         labels.where(~held_out() & F.col("toxic").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
     # at most `most` rows of twelve bytes
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        F.broadcast(chosen), "doc_id").select("text", "toxic")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
+        F.broadcast(chosen), "doc_id")
+    # a repeated doc_id gives one text, combined before the shuffle
+    return found.groupBy("doc_id").agg(
+        F.min(F.struct(F.xxhash64("text").alias("tie"), "text")).alias("row"), F.first("toxic").alias("toxic")).select(
+        "row.text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model | None:
