@@ -8,7 +8,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, neighbours, pieces, simhash, substrings, suffixes, tokenfiles, toxicity, warc
+from . import (
+    decontaminate,
+    lines,
+    neighbours,
+    pieces,
+    simhash,
+    substrings,
+    suffixes,
+    tokencounts,
+    tokenfiles,
+    toxicity,
+    warc,
+)
 from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -146,3 +158,8 @@ FROM w LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count_tokens(table(spark, sf_dir, "documents"))
