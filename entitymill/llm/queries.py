@@ -19,6 +19,7 @@ from . import (
     tokencounts,
     tokenfiles,
     toxicity,
+    turntrie,
     warc,
 )
 from .registry import ORACLES, QUERIES, query, table
@@ -160,6 +161,52 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query("op12_prefix_trie", r"""
+WITH o AS (
+  SELECT conv_id AS c, words, m, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, m) AS pos
+  FROM (SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words,
+               md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m
+        FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (
+  SELECT c, count(*) AS own, c - c % 20 AS base,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(c AS VARCHAR), ''),
+               lambda x: ascii(x)::BIGINT)),
+             lambda s, x: list_reduce(list_concat([xor(s, x)], range(8)),
+               lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)),
+           4294967295::BIGINT) % 4 AS h
+  FROM o GROUP BY c),
+shifted AS (
+  SELECT v.*, least(v.h, coalesce(b.own, 0)) AS taken FROM convs v LEFT JOIN convs b ON b.c = v.base),
+rebuilt AS (
+  SELECT v.c, o.pos AS i, o.m, o.words FROM shifted v JOIN o ON o.c = v.base AND o.pos <= v.h
+  UNION ALL
+  SELECT v.c, o.pos - v.h + v.taken, o.m, o.words FROM shifted v JOIN o ON o.c = v.c AND o.pos > v.h),
+paths AS (
+  SELECT c, i AS depth, words, string_agg(m, ',') OVER (PARTITION BY c ORDER BY i) AS node FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+linked AS (SELECT *, lag(node) OVER (PARTITION BY c ORDER BY depth) AS up FROM paths),
+nodes AS (
+  SELECT depth, node, min(up) AS up, min(c) AS conv_id, count(*) AS n, min(words) AS words FROM linked GROUP BY depth, node),
+children AS (SELECT up, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up),
+valued AS (
+  SELECT nodes.*, coalesce(children.n, 0) AS n_children, (nodes.n - 1) * words AS worth
+  FROM nodes LEFT JOIN children ON children.up = nodes.node),
+sums AS (
+  SELECT p.depth, p.node, sum(worth) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM valued v JOIN paths p ON p.c = v.conv_id AND p.depth <= v.depth GROUP BY p.depth, p.node),
+ends AS (
+  SELECT depth, node, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+  FROM (SELECT c, depth, node FROM paths QUALIFY row_number() OVER (PARTITION BY c ORDER BY depth DESC) = 1)
+  GROUP BY depth, node)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, v.n AS n_convs,
+       CAST(v.n_children AS BIGINT) AS n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM valued v JOIN sums s USING (depth, node) LEFT JOIN ends e USING (depth, node)
+LEFT JOIN nodes a ON a.node = v.up AND a.depth = v.depth - 1""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_token_counts")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.count_tokens(table(spark, sf_dir, "documents"))
