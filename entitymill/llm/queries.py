@@ -12,6 +12,7 @@ from . import (
     decontaminate,
     lines,
     neighbours,
+    phrases,
     pieces,
     simhash,
     substrings,
@@ -161,10 +162,51 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query("op11_phrases", r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?
+-]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS words FROM p),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, size, phrase, count(*) AS a
+  FROM (SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+        FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+              FROM w, range(1, 6) AS sizes(size) WHERE len(words) >= size))
+  GROUP BY lang, size, phrase HAVING count(*) >= 100),
+phrases AS (SELECT lang, phrase, size, a, string_split(phrase, ' ') AS words FROM grams WHERE size > 1),
+held AS (
+  SELECT lang, array_to_string(words[i:i + n - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, words, size, a, n, unnest(range(1, size - n + 2)) AS i
+        FROM phrases, range(2, 5) AS inner_sizes(n) WHERE n < size)
+  GROUP BY ALL),
+kept AS (
+  SELECT phrases.* FROM phrases LEFT JOIN held USING (lang, phrase)
+  WHERE longer IS NULL OR NOT 100 * longer >= 100 * a),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS first, array_to_string(words[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, f.a AS l, g.a AS r, t.n, c.k,
+         CAST(1000::HUGEINT * c.a * t.n // (f.a::HUGEINT * g.a) AS BIGINT) AS score
+  FROM cuts c JOIN grams f ON f.lang = c.lang AND f.phrase = c.first
+  JOIN grams g ON g.lang = c.lang AND g.phrase = c.rest JOIN totals t ON t.lang = c.lang),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= 2000""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op12_prefix_trie", r"""
 WITH o AS (
   SELECT conv_id AS c, words, m, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, m) AS pos
-  FROM (SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words,
+  FROM (SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS words,
                md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m
         FROM conversations WHERE conv_id IS NOT NULL)),
 convs AS (
