@@ -17,13 +17,13 @@ Cuts, scores and containment are joins and aggregates on exact integers (decimal
 
 Scale: a partition's mass is bounded by `PARTITION_MASS`, the number of partitions grows with the
 corpus. An n-gram moves once as a four-byte number per slice, however often the slice has it; a frequent
-phrase costs one row per slice. Nothing is broadcast or collected. The numbers of a partition are
+phrase costs one row per task. Nothing is broadcast or collected. The numbers of a partition are
 held packed until its survivors are known (some bytes per unit of mass).
 
 Defined cases: a null text is empty, a null lang is `und`; texts without words count nothing; a piece
 longer than a slice is a slice of its own; repeated rows count as often as they occur; doc_ids are
-not looked at; other columns are ignored; an empty table gives no rows. Within a slice, n-grams are
-told apart by 64-bit hashes, between slices by their words.
+not looked at; other columns are ignored; an empty table gives no rows. Within a task, n-grams are
+told apart by 64-bit hashes, between tasks by their words.
 """
 
 from __future__ import annotations
@@ -47,6 +47,8 @@ TOP = 2000
 SLICE_BYTES = 4 << 20
 PARTITION_MASS = 8_000_000
 SPARE = 4
+# distinct n-grams that a task adds up before they leave it
+COMBINED = 300_000
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 
 _BREAK = np.zeros(256, bool)
@@ -239,9 +241,38 @@ def _survive(threshold: int):
     return run
 
 
+class Counts:
+    """Counts of n-grams by hash, with the words of each; what several slices of a task hold is one entry."""
+
+    def __init__(self):
+        self.hashes, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.counts, self.rows = np.zeros(0, np.int64), []
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray, words_of) -> None:
+        """hashes: sorted and distinct; words_of(indices): the entries of those not seen before."""
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        self.counts[self.place[at[known]]] += counts[known]
+        fresh = np.flatnonzero(~known)
+        places = np.arange(len(self.counts), len(self.counts) + len(fresh))
+        self.hashes = np.insert(self.hashes, at[fresh], hashes[fresh])
+        self.place = np.insert(self.place, at[fresh], places)
+        self.counts = np.concatenate([self.counts, counts[fresh]])
+        self.rows += words_of(fresh)
+
+    def batch(self) -> pa.RecordBatch:
+        langs, sizes, words = zip(*self.rows, strict=True) if self.rows else ((), (), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(words, pa.binary()).cast(pa.string()),
+             pa.array(sizes, pa.int32()), pa.array(self.counts)], ["lang", "phrase", "size", "n"])
+
+
 def _count(partitions: int, longest: int):
     """Slices with the numbers that survived in them to (lang, phrase, size, n)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = Counts()
         for batch in batches:
             for at in range(len(batch)):
                 data = batch.column("text")[at].as_py()
@@ -254,14 +285,18 @@ def _count(partitions: int, longest: int):
                     address = part << np.uint64(32) | number
                     place = np.minimum(np.searchsorted(left, address), len(left) - 1)
                     hit = np.flatnonzero(left[place] == address)
-                    _, one, counts = np.unique(hashes[hit], return_index=True, return_counts=True)
+                    found, one, counts = np.unique(hashes[hit], return_index=True, return_counts=True)
                     word = first[hit[one]]
-                    phrases = [b" ".join(data[a:b].split()) for a, b in zip(
-                        starts[word].tolist(), ends[word + size - 1].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(one), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                         pa.array(np.full(len(one), size, np.int32)), pa.array(counts.astype(np.int64))],
-                        ["lang", "phrase", "size", "n"])
+
+                    def words_of(fresh, word=word, size=size, lang=lang, data=data, starts=starts, ends=ends):
+                        return [(lang, size, b" ".join(data[a:b].split())) for a, b in zip(
+                            starts[word[fresh]].tolist(), ends[word[fresh] + size - 1].tolist(), strict=True)]
+
+                    total.add(found, counts, words_of)
+                if len(total.counts) >= COMBINED:
+                    yield total.batch()
+                    total = Counts()
+        yield total.batch()
 
     return run
 
