@@ -201,3 +201,78 @@ def test_threshold_of_four_fifths_is_refused(spark):
     names = spark.createDataFrame([("b", "ab"), ("b", "axb")], "block string, name string")
     with pytest.raises(ValueError, match="above 0.8"):
         pairs.candidate_pairs(names, names, 0.8)
+
+
+def leaders_in_order(members, edges):
+    keys, points = {}, {}
+    for pos, key in members:
+        keys.setdefault(pos, set()).add(key)
+    for key, other in edges:
+        points.setdefault(key, set()).add(other)
+    held, kept = set(), set()
+    for pos in sorted(keys):
+        if not any(k in held or points.get(k, set()) & held for k in keys[pos]):
+            kept.add(pos)
+            held |= keys[pos]
+    return kept
+
+
+@pytest.mark.parametrize("finish_rows", [0, 60, 1000])
+def test_leaders_equal_the_scan_whatever_is_left_to_it(spark, finish_rows):
+    rng = random.Random(finish_rows)
+    members = sorted({(i, f"k{rng.randrange(50)}") for i in range(80) for _ in range(rng.choice([1, 2]))})
+    edges = sorted({(f"k{rng.randrange(50)}", f"k{rng.randrange(50)}") for _ in range(30)})
+    positions = spark.createDataFrame([(p,) for p in {p for p, _ in members} | {900}], "pos LONG")
+    got = cluster.keep_leaders(
+        positions, spark.createDataFrame(members, "pos LONG, key STRING"),
+        spark.createDataFrame(edges, "key STRING, other_key STRING"), finish_rows=finish_rows)
+    assert {r.pos for r in got.collect() if r.kept} == leaders_in_order(members, edges) | {900}
+
+
+def jobs_of(spark, action):
+    group = f"count-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    action()
+    found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return found
+
+
+def test_a_long_chain_takes_few_jobs(spark):
+    chain = [(i, f"k{j}") for i in range(1000) for j in (i, i + 1)]
+    df = spark.createDataFrame(chain, "pos LONG, key STRING")
+    out = []
+    assert jobs_of(spark, lambda: out.extend(cluster.keep_leaders(df.select("pos"), df).collect())) < 20
+    assert {r.pos for r in out if r.kept} == set(range(0, 1000, 2))
+    links = spark.createDataFrame([(i, i + 1) for i in range(1000)], "u LONG, v LONG")
+    nodes = spark.range(1005)
+    out = []
+    assert jobs_of(spark, lambda: out.extend(cluster.connected_components(nodes, links).collect())) < 20
+    assert {r.id: r.component for r in out} == {i: 0 if i <= 1000 else i for i in range(1005)}
+
+
+def test_components_by_rounds_alone(spark):
+    rng = random.Random(3)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
+    df = spark.createDataFrame(links, "u LONG, v LONG")
+    some, all_at_once = (
+        {r.id: r.component for r in cluster.connected_components(spark.range(300), df, finish).collect()}
+        for finish in (0, 1_000_000))
+    assert some == all_at_once and len(set(some.values())) > 50
+
+
+def test_segments_do_not_overlap_and_fit():
+    for threshold in (0.801, 0.81, 0.85, 0.9):
+        assert all(2 * pairs.segments_needed(n, threshold) <= n for n in range(2, 500))
+    counts = {"ab": 5, "bc": 1, "cd": 5, "de": 2, "ef": 9}
+    assert pairs.cheapest_segments("abcdef", 2, counts, 1) == [1, 3]
+    assert pairs.cheapest_segments("abcdef", 3, counts, 1) == [0, 2, 4]
+
+
+def test_letter_counts_differ_no_more_than_the_names():
+    rng = random.Random(5)
+    for _ in range(300):
+        a = "".join(rng.choice("abcÄ &7Z") for _ in range(rng.randrange(1, 25)))
+        b = typo(rng, a)
+        apart = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(pairs.letter_counts(a), pairs.letter_counts(b)))
+        assert indel(a, b) <= 100 and (1 - indel(a, b) / 100) * (len(a) + len(b)) + 1e-6 >= apart
