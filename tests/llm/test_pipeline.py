@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from entitymill.llm import lines, simhash, toxicity
+from entitymill.llm import toxicity
 from entitymill.llm.queries import ORACLES, QUERIES
 from entitymill.plans.registry import RAW
 from tools.check import kinds, rows_of
 
+from .test_long_lines import brute_force
+from .test_near_copies import first_of_groups
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, sf_dir, name):
@@ -56,14 +64,42 @@ def test_pipeline_stages(spark, sf_dir):
     scores = {r.doc_id: r.score for r in toxicity.score_documents(start, labels).collect()}
     assert {r.doc_id for r in after.collect()} == {d for d, s in scores.items() if s < toxicity.THRESHOLD}
     start, after = kept["line dedup"]
-    assert sorted(repr((r.row.doc_id, r.kept)) for r in lines.dedup_lines(start).collect()) == sorted(
-        repr((r.doc_id, r.text)) for r in after.collect())
+    rows = sorted(((r.doc_id, r.text or "") for r in start.collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    assert sorted(repr((r.doc_id, r.text or "")) for r in after.collect()) == sorted(
+        map(repr, brute_force(rows, corpus_pipeline.LONG_LINES)))
     start, after = kept["SimHash near-dedup"]
-    groups = simhash.near_duplicates(start).collect()
-    assert sorted(r.doc_id for r in after.collect()) == sorted({r.component_id for r in groups})
+    rows = [(r.doc_id, r.text) for r in start.collect()]
+    assert sorted(repr(r.doc_id) for r in after.collect()) == sorted(repr(rows[i][0]) for i in first_of_groups(rows))
+    start, after = kept["benchmark decontamination"]
+    items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    assert sorted(repr(r.doc_id) for r in after.collect()) == sorted(
+        repr(r.doc_id) for r in start.collect() if not shares_a_window(r.text, items))
     assert kept["SentencePiece encoding"][1].count() == kept["benchmark decontamination"][1].count()
 
 
+def shares_a_window(text, items):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+    own = words(text)
+    for item in items:
+        cut = words(item)
+        size = min(10, len(cut))
+        windows = {tuple(cut[i : i + size]) for i in range(len(cut) - size + 1)} if cut else set()
+        if any(tuple(own[i : i + size]) in windows for i in range(len(own) - size + 1)):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_empty_tables_and_nulls(spark, sf_dir, name, stage):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    nulls = spark.createDataFrame([(None,) * 5, (7, None, None, None, None), (8, "clean words here", None, None, None)], docs.schema)
+    got = stage(spark, nulls.withColumn("key", F.lit(1)).withColumn("score", F.lit("x")), sf_dir)
+    ids = {r.doc_id for r in got.collect()}
+    # rows without words are copies of each other: the near-copy stage keeps the first of them
+    assert ids == ({7, 8} if name == "SimHash near-dedup" else {None, 7, 8})
+
+
 def test_pipeline_runs(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 100
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
