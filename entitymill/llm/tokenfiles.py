@@ -7,11 +7,12 @@ lengths as another (see pfor). Shards are rows of a Parquet table in the shared
 committers keep it whole when an executor is lost. A shard is found by its first document; the
 places of all documents follow from sums over the shards, one small row each.
 
-A text is encoded in parts: cut at spaces and line ends, and, where a text has only Latin letters (but
-no dotted capital I), digits and ASCII signs but no apostrophe and no `<|`, between runs of letters and digits and the
-signs around them. The tokenizer cuts at these places itself and nothing looks across them, so the
-parts' ids joined are the ids of the whole text. Parts seen before come from a bounded memory; new
-words of letters are normalised together and given to the tokenizer's model one by one.
+A text is cut at spaces and line ends. What stands between them is looked up in a bounded memory; a
+new one that has only Latin letters (but no dotted capital I), digits and ASCII signs but no apostrophe
+and no `<|` is cut again, between runs of letters and digits and the signs around them, and these
+parts have a memory of their own. The tokenizer cuts at these places itself and nothing looks across
+them, so the parts' ids joined are the ids of the whole text. New words of letters are normalised
+together and given to the tokenizer's model one by one.
 
 Defined cases: null and empty texts give the end id alone; rows without doc_id come first, equal
 doc_ids are ordered by a hash of their texts, equal rows are interchangeable; other columns are
@@ -39,7 +40,7 @@ from . import textbytes as tb
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 SHARD_IDS = 1_000_000
-# Parts remembered by a worker, and the longest of them: some 200 MB.
+# Parts remembered by a worker in each of two memories, and the longest of them: some 300 MB.
 MEMORY_PARTS = 1_000_000
 LONGEST_PART = 64
 
@@ -52,11 +53,14 @@ _UNSAFE = re.compile(r"['×÷\u0080-\u00bf\u0130\u0250-\U0010ffff]|<\|")
 _RUNS = re.compile(r"[0-9A-Za-zÀ-ɏ]+|[^0-9A-Za-zÀ-ɏ \n]+")
 
 
-def cut_parts(text: str) -> list[str]:
+def cut_blanks(text: str) -> list[str]:
     """Parts whose ids, joined, are the ids of the text."""
-    if _UNSAFE.search(text):
-        return text.replace("\n", " ").split(" ")
-    return _RUNS.findall(text)
+    return text.replace("\n", " ").split(" ")
+
+
+def cut_parts(text: str) -> list[str]:
+    """Smaller such parts of a part, where that is exact."""
+    return [text] if _UNSAFE.search(text) else _RUNS.findall(text)
 
 
 class PartEncoder:
@@ -68,6 +72,7 @@ class PartEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -96,24 +101,35 @@ class PartEncoder:
         for low in range(0, len(parts), 5000):
             yield from (x.tobytes() for x in self._ids(parts[low : low + 5000]))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [cut_parts(t) for t in texts]
-        if len(self.known) > MEMORY_PARTS:
-            self.known = {}
-        found = [list(map(self.known.get, parts)) for parts in split]
-        fresh = {p for parts, ids in zip(split, found, strict=True) if None in ids
-                 for p, i in zip(parts, ids, strict=True) if i is None}
-        if not fresh:
-            return [b"".join(ids) for ids in found]
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts that are not in memory, from those of the smaller parts in them."""
+        if len(self.pieces) > MEMORY_PARTS:
+            self.pieces = {}
+        split = [cut_parts(p) for p in parts]
+        fresh = {p for some in split for p in some}.difference(self.pieces)
         words = [p for p in fresh if p.isalpha() and len(p) <= LONGEST_PART and not _UNSAFE.search(p)]
         short = [p for p in fresh.difference(words) if len(p) <= LONGEST_PART]
         long = [p for p in fresh if len(p) > LONGEST_PART]
-        self.known.update(self._words(words))
-        self.known.update(zip(short, self._encode(short), strict=True))
+        self.pieces.update(self._words(words))
+        self.pieces.update(zip(short, self._encode(short), strict=True))
         rare = dict(zip(long, self._encode(long), strict=True))
-        return [b"".join([i if i is not None else self.known[p] if p in self.known else rare[p]
-                          for p, i in zip(parts, ids, strict=True)]) if None in ids else b"".join(ids)
-                for parts, ids in zip(split, found, strict=True)]
+        known = self.pieces.get
+        return {part: b"".join([rare[p] if (ids := known(p)) is None else ids for p in some])
+                for part, some in zip(parts, split, strict=True)}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [cut_blanks(t) for t in texts]
+        if len(self.known) > MEMORY_PARTS:
+            self.known = {}
+        found = [list(map(self.known.get, parts)) for parts in split]
+        unknown = [i for i, ids in enumerate(found) if None in ids]
+        fresh = {p for i in unknown for p, ids in zip(split[i], found[i], strict=True) if ids is None}
+        if fresh:
+            learnt = self._learn(list(fresh))
+            self.known.update((p, ids) for p, ids in learnt.items() if len(p) <= LONGEST_PART)
+            for i in unknown:
+                found[i] = [learnt[p] if ids is None else ids for p, ids in zip(split[i], found[i], strict=True)]
+        return [b"".join(ids) for ids in found]
 
 
 _ENCODERS: dict[int, PartEncoder] = {}
