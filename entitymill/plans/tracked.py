@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..functions import names, phones
@@ -277,7 +279,7 @@ def st1(t):
         rows.where(F.col("source_file") == f"dir_{wave}").write.mode("append").parquet(f"{root}/in")
         arriving = streamed.read_arriving(t.spark, f"{root}/in", rows.schema)
         streamed.import_into_master(arriving, f"{root}/master", f"{root}/checkpoint", "phone_key", "dealer_id")
-    return t.spark.read.parquet(f"{root}/master").select("phone_key", "dealer_id", "brand")
+    return streamed.read_master(t.spark, f"{root}/master", rows.schema).select("phone_key", "dealer_id", "brand")
 
 
 def _event_files(t, root: str):
@@ -295,6 +297,20 @@ def st2(t):
     return t.spark.read.schema("contractor_id BIGINT, stage_to STRING").parquet(f"{root}/out")
 
 
+@query(
+    "st2b_distinct_per_window",
+    """SELECT DISTINCT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M') AS window_start, contractor_id, stage_to FROM funnel_events""",
+)
+def st2b(t):
+    """Keys once a day; a day's keys leave the state an hour after its end."""
+    root = scratch_dir(t.spark, "st2b")
+    kept = streamed.distinct_keys_per_window(
+        _event_files(t, root), ["contractor_id", "stage_to"], "ts", "1 day", "1 hour")
+    streamed.write_stream(kept, f"{root}/out", f"{root}/checkpoint")
+    done = t.spark.read.schema("window_start TIMESTAMP, contractor_id BIGINT, stage_to STRING").parquet(f"{root}/out")
+    return done.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+
+
 @query(
     "st3_stage_counts",
     """SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M') AS window_start, stage_to, count(*) AS events FROM funnel_events
@@ -310,12 +326,18 @@ def st3(t):
 
 @query("st4_stage_times", STAGE_TIMES)
 def st4(t):
+    """Keyed state: the files arrive in two waves, the second run goes on from the state of the first."""
     root = scratch_dir(t.spark, "st4")
     events = t.funnel_events.withColumn("ts", F.col("ts").cast("timestamp"))
     cut = events.agg(F.percentile_approx("event_id", 0.5).alias("mid"))
     halves = events.join(F.broadcast(cut)).withColumn("late", F.col("event_id") > F.col("mid")).drop("mid")
-    for late in (False, True):
-        halves.where(F.col("late") == late).drop("late").write.mode("append").parquet(f"{root}/in")
-        arriving = streamed.read_arriving(t.spark, f"{root}/in", events.schema)
-        stages.stage_times(arriving, f"{root}/out", f"{root}/last", f"{root}/checkpoint", "contractor_id", "ts", "stage_to")
-    return t.spark.read.parquet(f"{root}/out").drop("batch")
+    with stages.keyed_state(t.spark):
+        for late in (False, True):
+            halves.where(F.col("late") == late).drop("late").write.mode("append").parquet(f"{root}/in")
+            arriving = streamed.read_arriving(t.spark, f"{root}/in", events.schema)
+            timed = stages.stage_times(arriving, "contractor_id", "ts", "stage_to", "1 hour", timedelta(days=3650))
+            streamed.write_stream(timed, f"{root}/out", f"{root}/checkpoint")
+    done = t.spark.read.schema(
+        "event_id BIGINT, contractor_id BIGINT, stage_from STRING, stage_to STRING, hours_in_previous BIGINT, status STRING"
+    ).parquet(f"{root}/out")
+    return done.where("status = 'in order'").drop("status")
