@@ -9,21 +9,23 @@ Texts are lower-cased (A-Z), split at `[.,;:!?\\x0A-\\x0D]` into pieces and thos
    `SPARE` times its mass divided by the threshold, so that what the summary has subtracted from any
    count stays below threshold / `SPARE`; a hash whose count plus all that was subtracted reaches the
    threshold survives. No frequent n-gram is ever lost, and what survives beside them is rare.
-3. The survivors go back to the slices that hold them, which count these n-grams by their words; sums
-   over the slices are exact. What is below the threshold goes.
+3. The survivors go back to the slices that hold them, which count these n-grams by hashes of 64 bits;
+   sums over the slices are exact. What is below the threshold goes. Every frequent n-gram gets its words
+   from one slice, the first that holds it.
 
 Counts of all parts of a candidate are among them, as a part is at least as frequent as the whole.
 Cuts, scores and containment are joins and aggregates on exact integers (decimals of 38 digits).
 
 Scale: a partition's mass is bounded by `PARTITION_MASS`, the number of partitions grows with the
-corpus. An n-gram moves once as a four-byte number per slice, however often the slice has it; a frequent
-phrase costs one row per task. Nothing is broadcast or collected. The numbers of a partition are
+corpus. An n-gram moves once as a four-byte number per slice, however often the slice has it, a
+survivor as twelve bytes more; rows hold what a slice sends to a partition, and only frequent n-grams
+become rows of their own, once. Texts are shuffled twice. Nothing is broadcast or collected. The numbers of a partition are
 held packed until its survivors are known (some bytes per unit of mass).
 
 Defined cases: a null text is empty, a null lang is `und`; texts without words count nothing; a piece
 longer than a slice is a slice of its own; repeated rows count as often as they occur; doc_ids are
-not looked at; other columns are ignored; an empty table gives no rows. Within a task, n-grams are
-told apart by 64-bit hashes, between tasks by their words.
+not looked at; other columns are ignored; an empty table gives no rows. N-grams are told apart by
+64-bit hashes of their language and words.
 """
 
 from __future__ import annotations
@@ -47,8 +49,6 @@ TOP = 2000
 SLICE_BYTES = 4 << 20
 PARTITION_MASS = 8_000_000
 SPARE = 4
-# distinct n-grams that a task adds up before they leave it
-COMBINED = 300_000
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 
 _BREAK = np.zeros(256, bool)
@@ -241,62 +241,100 @@ def _survive(threshold: int):
     return run
 
 
-class Counts:
-    """Counts of n-grams by hash, with the words of each; what several slices of a task hold is one entry."""
-
-    def __init__(self):
-        self.hashes, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.counts, self.rows = np.zeros(0, np.int64), []
-
-    def add(self, hashes: np.ndarray, counts: np.ndarray, words_of) -> None:
-        """hashes: sorted and distinct; words_of(indices): the entries of those not seen before."""
-        at = np.searchsorted(self.hashes, hashes)
-        known = np.zeros(len(hashes), bool)
-        inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == hashes[inside]
-        self.counts[self.place[at[known]]] += counts[known]
-        fresh = np.flatnonzero(~known)
-        places = np.arange(len(self.counts), len(self.counts) + len(fresh))
-        self.hashes = np.insert(self.hashes, at[fresh], hashes[fresh])
-        self.place = np.insert(self.place, at[fresh], places)
-        self.counts = np.concatenate([self.counts, counts[fresh]])
-        self.rows += words_of(fresh)
-
-    def batch(self) -> pa.RecordBatch:
-        langs, sizes, words = zip(*self.rows, strict=True) if self.rows else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(words, pa.binary()).cast(pa.string()),
-             pa.array(sizes, pa.int32()), pa.array(self.counts)], ["lang", "phrase", "size", "n"])
+def _survivors_of(batch: pa.RecordBatch, at: int) -> np.ndarray:
+    """Sorted addresses that survived in a slice."""
+    return np.sort(np.concatenate([
+        np.frombuffer(x["numbers"], np.uint32).astype(np.uint64) | np.uint64(x["part"] << 32)
+        for x in batch.column("found")[at].as_py()]))
+
+
+def _held(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of the values that are among the wanted ones (sorted)."""
+    place = np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)
+    return np.flatnonzero(wanted[place] == values)
 
 
 def _count(partitions: int, longest: int):
-    """Slices with the numbers that survived in them to (lang, phrase, size, n)."""
+    """Slices with the numbers that survived in them to (part, slice, hashes, counts), exact and packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(len(batch)):
+                text = np.frombuffer(batch.column("text")[at].as_buffer(), np.uint8)
+                left, some = _survivors_of(batch, at), []
+                for _, hashes, _, _ in _ngrams(batch.column("lang")[at].as_py(), text, longest):
+                    part, number = _address(hashes, partitions)
+                    some.append(hashes[_held(part << np.uint64(32) | number, left)])
+                hashes, counts = np.unique(np.concatenate(some), return_counts=True)
+                part = _address(hashes, partitions)[0].astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                part, hashes, counts = part[order], hashes[order], counts[order].astype(np.uint32)
+                cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+                ends = [*cuts[1:], len(part)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[cuts]), pa.array([batch.column("slice")[at].as_py()] * len(cuts), pa.int64()),
+                     pa.array([hashes[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+                     pa.array([counts[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())],
+                    ["part", "slice", "hashes", "counts"])
+
+    return run
+
+
+def _add_up(threshold: int):
+    """Rows sorted by part to (slice, hashes, counts): frequent n-grams at the first slice that has each."""
+    def settle(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        hashes, place = np.unique(np.concatenate([np.frombuffer(h, np.uint64) for _, h, _ in rows]), return_inverse=True)
+        sizes = [len(h) // 8 for _, h, _ in rows]
+        total, first = np.zeros(len(hashes), np.int64), np.full(len(hashes), np.iinfo(np.int64).max)
+        np.add.at(total, place, np.concatenate([np.frombuffer(c, np.uint32) for _, _, c in rows]).astype(np.int64))
+        np.minimum.at(first, place, np.repeat([x for x, _, _ in rows], sizes))
+        often = total >= threshold
+        hashes, total, first = hashes[often], total[often], first[often]
+        order = np.argsort(first, kind="stable")
+        hashes, total, first = hashes[order], total[order], first[order]
+        cuts = np.flatnonzero(np.diff(first, prepend=-1)).tolist()
+        ends = [*cuts[1:], len(first)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(first[cuts]), pa.array([hashes[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+             pa.array([total[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())],
+            ["slice", "hashes", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, current = [], None
+        for batch in batches:
+            for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "slice", "hashes", "counts")), strict=True):
+                if part != current and rows:
+                    yield settle(rows)
+                    rows = []
+                current = part
+                rows.append(row)
+        if rows:
+            yield settle(rows)
+
+    return run
+
+
+def _name(longest: int):
+    """Slices with the frequent n-grams that they name to (lang, phrase, size, a)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = Counts()
         for batch in batches:
             for at in range(len(batch)):
                 data = batch.column("text")[at].as_py()
                 text, lang = np.frombuffer(data, np.uint8), batch.column("lang")[at].as_py()
-                left = np.sort(np.concatenate([
-                    np.frombuffer(x["numbers"], np.uint32).astype(np.uint64) | np.uint64(x["part"] << 32)
-                    for x in batch.column("found")[at].as_py()]))
+                found = batch.column("found")[at].as_py()
+                wanted = np.concatenate([np.frombuffer(x["hashes"], np.uint64) for x in found])
+                totals = np.concatenate([np.frombuffer(x["counts"], np.int64) for x in found])
+                order = np.argsort(wanted)
+                wanted, totals = wanted[order], totals[order]
                 for size, hashes, first, (starts, ends) in _ngrams(lang, text, longest):
-                    part, number = _address(hashes, partitions)
-                    address = part << np.uint64(32) | number
-                    place = np.minimum(np.searchsorted(left, address), len(left) - 1)
-                    hit = np.flatnonzero(left[place] == address)
-                    found, one, counts = np.unique(hashes[hit], return_index=True, return_counts=True)
+                    hit = _held(hashes, wanted)
+                    named, one = np.unique(hashes[hit], return_index=True)
                     word = first[hit[one]]
-
-                    def words_of(fresh, word=word, size=size, lang=lang, data=data, starts=starts, ends=ends):
-                        return [(lang, size, b" ".join(data[a:b].split())) for a, b in zip(
-                            starts[word[fresh]].tolist(), ends[word[fresh] + size - 1].tolist(), strict=True)]
-
-                    total.add(found, counts, words_of)
-                if len(total.counts) >= COMBINED:
-                    yield total.batch()
-                    total = Counts()
-        yield total.batch()
+                    phrases = [b" ".join(data[a:b].split()) for a, b in zip(
+                        starts[word].tolist(), ends[word + size - 1].tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(one), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
+                         pa.array(np.full(len(one), size, np.int32)), pa.array(totals[np.searchsorted(wanted, named)])],
+                        ["lang", "phrase", "size", "a"])
 
     return run
 
@@ -312,11 +350,15 @@ def frequent_ngrams(slices: DataFrame, threshold: int = THRESHOLD, longest: int
         _deal(partitions, longest), "part bigint, slice bigint, numbers binary, counts binary")
     found = dealt.repartition(least, "part").sortWithinPartitions("part").mapInArrow(
         _survive(threshold), "slice bigint, part bigint, numbers binary")
+    texts = slices.select("slice", "lang", "text")
     found = keep_table(found.groupBy("slice").agg(F.collect_list(F.struct("part", "numbers")).alias("found")), "survivors")
-    counted = slices.select("slice", "lang", "text").join(found, "slice").mapInArrow(
-        _count(partitions, longest), "lang string, phrase string, size int, n bigint")
-    return keep_table(counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a"))
-                      .where(F.col("a") >= threshold), "frequent-ngrams")
+    counted = texts.join(found, "slice").mapInArrow(
+        _count(partitions, longest), "part bigint, slice bigint, hashes binary, counts binary")
+    often = counted.repartition(least, "part").sortWithinPartitions("part").mapInArrow(
+        _add_up(threshold), "slice bigint, hashes binary, counts binary")
+    often = keep_table(often.groupBy("slice").agg(F.collect_list(F.struct("hashes", "counts")).alias("found")), "often")
+    return keep_table(texts.join(often, "slice").mapInArrow(
+        _name(longest), "lang string, phrase string, size int, a bigint"), "frequent-ngrams")
 
 
 def _within(phrases: DataFrame) -> DataFrame:

@@ -54,7 +54,6 @@ def random_rows(seed, docs, words):
 @pytest.mark.parametrize("seed", range(2))
 def test_random_texts(spark, seed, monkeypatch):
     monkeypatch.setattr(phrases, "PARTITION_MASS", 500)
-    monkeypatch.setattr(phrases, "COMBINED", 40)
     rows = random_rows(seed, 150, 6)
     for threshold, top in ((4, 2000), (15, 7)):
         assert mined(spark, rows, threshold=threshold, top=top) == plain(rows, threshold, top)
