@@ -27,6 +27,9 @@ from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
+# A single line, or two in a row, with as many words is a repeat without a third line.
+LINE_WORDS = 50
+
 
 @query("op1_toxicity")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,17 +109,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-@query("op8_lines", """
+@query("op8_lines", r"""
 WITH l AS (
   SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 u AS (
   SELECT doc_id, list_filter(range(1, len(lines) + 1), lambda i: length(trim(lines[i])) > 0) AS units, lines FROM l),
-w AS (
-  SELECT doc_id, units[i] AS a, units[i + size - 1] AS b,
+sized AS (
+  SELECT doc_id, units, lines, least(3, len(units)) AS whole, unnest([1, 2, 3]) AS size FROM u WHERE len(units) > 0),
+runs AS (
+  SELECT doc_id, size = whole AS is_whole, units[i] AS a, units[i + size - 1] AS b,
          list_transform(units[i:i + size - 1], lambda k: lines[k]) AS piece
-  FROM (SELECT doc_id, units, lines, least(3, len(units)) AS size,
-               unnest(range(1, len(units) - least(3, len(units)) + 2)) AS i
-        FROM u WHERE len(units) > 0)),
+  FROM (SELECT *, unnest(range(1, len(units) - size + 2)) AS i FROM sized WHERE size <= whole)),
+w AS (
+  SELECT doc_id, a, b, piece FROM runs WHERE is_whole OR list_sum(list_transform(
+    piece, lambda line: len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')))) >= 50),
 later AS (
   SELECT doc_id, a, b FROM (
     SELECT *, row_number() OVER (PARTITION BY piece ORDER BY doc_id, a) AS n FROM w) WHERE n > 1),
@@ -130,7 +136,7 @@ SELECT d.doc_id, CAST(coalesce(len(l.lines), 0) AS INTEGER) AS n_lines,
        sha256(coalesce(kept.kept, '')) AS kept_sha256
 FROM documents d JOIN l USING (doc_id) LEFT JOIN kept USING (doc_id)""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(table(spark, sf_dir, "documents")).select(
+    return lines.dedup_lines(table(spark, sf_dir, "documents"), words=LINE_WORDS).select(
         F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed",
         F.sha2(F.coalesce(F.col("kept"), F.lit("")), 256).alias("kept_sha256"))
 
@@ -167,7 +173,8 @@ WITH p AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS words FROM p),
 totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
