@@ -97,15 +97,15 @@ def _place(key: str, first: str) -> Column:
 def repeated_windows(units: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """(key, first, last): windows that stand earlier as well."""
     found = keep_table(windows(units, window, words), "line-windows")
-    # fingerprints that occur at more than one place
+    # fingerprints that occur at more than one place; both joins are the same at every size
     marks = keep_table(
         found.groupBy("mark").agg(F.min(F.struct("key", "spot")).alias("a"), F.max(F.struct("key", "spot")).alias("b"))
-        .where("a <> b").select("mark"), "line-marks")
+        .where("a <> b").select("mark"), "line-marks").hint("merge")
     met = found.join(marks, "mark")
     # the first place of every extension of a fingerprint
     firsts = keep_table(met.groupBy("mark", "h", "g").agg(F.min(_place("key", "first")).alias("origin"),
                                                           F.max(_place("key", "first")).alias("end"))
-                        .where("origin <> end").drop("end"), "line-firsts")
+                        .where("origin <> end").drop("end"), "line-firsts").hint("merge")
     return met.join(firsts, ["mark", "h", "g"]).where(_place("key", "first") != F.col("origin")).select(
         "key", "first", "last")
 
