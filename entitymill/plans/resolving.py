@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import names, phones, text
-from ..functions.domains import email_domain
+from ..functions.domains import email_domain, email_key
 from ..functions.similarity import block_ratio, indel_ratio
-from ..operators import cluster, keyed, numbering, pairs, upsert as upserting
+from ..operators import cluster, growing, keyed, numbering, pairs, upsert as upserting
 from ..operators.linkage import FUZZY_THRESHOLD
 from ..session import cut_lineage
 from . import duck
@@ -231,6 +231,77 @@ def d08(t):
     )
 
 
+# Sources in the order in which they are merged; an id is the source and its own key.
+SOURCE_STRIDE = 1 << 40
+SETS = {"phones": "phone", "emails": "email", "contact_names": "contact_name", "sources": "source",
+        "license_types": "license_types", "categories": "categories"}
+# A number under which more different names stand is a switchboard or a toll-free line.
+NAMES_OF_A_NUMBER = 10
+
+
+def listed_rows(t):
+    """Directory, registry and ranking rows in one form, with the keys that they merge by."""
+    empty = F.lit(None).cast("string")
+
+    def part(source, df, key, name, state, phone, email, contact, source_name, licences, categories, kw):
+        return df.select(
+            (F.lit(source * SOURCE_STRIDE) + F.col(key)).cast("long").alias("id"),
+            text.clean(name).alias("company_name"), F.coalesce(F.upper(state), F.lit("")).alias("state"),
+            phones.phone10(phone).alias("phone"), email_key(email).alias("email"), email_domain(email).alias("domain"),
+            text.clean(contact).alias("contact_name"), source_name.alias("source"),
+            licences.alias("license_types"), categories.alias("categories"), kw.cast("long").alias("kw"))
+
+    none = F.array().cast("array<string>")
+    dealers = part(0, t.dealers, "dealer_id", "name", "state", "phone", "email", empty, F.col("source_file"),
+                   none, text.split_list("certifications", ","), F.lit(None))
+    registry = part(1, t.registry, "row_no", "business_name", "state", "business_phone", "email", "person_name",
+                    F.col("registry_state"), F.array("type_code"), none, F.lit(None))
+    ranked = part(2, t.rankings, "ranking_id", "company_name", "headquarters_state", empty, empty, empty,
+                  F.col("list_name"), text.split_list("licence_text", ";"), text.split_list("markets", ","), F.col("kw_installed"))
+    return dealers.unionByName(registry).unionByName(ranked).withColumn(
+        "name", names.company_key_cut_anywhere("company_name"))
+
+
+def keys_of(rows, **columns):
+    """(id, key) of every present key; a key carries its signal as prefix."""
+    listed = F.array_compact(F.array(*[F.concat(F.lit(f"{signal}:"), c) for signal, c in columns.items()]))
+    return rows.select("id", F.explode(listed).alias("key"))
+
+
+def grown(t, most_names=None):
+    """Rows of all lists and their components; numbers under more than `most_names` names are weak, if given."""
+    rows = cut_lineage(listed_rows(t))
+    strong = keys_of(rows, email=F.col("email"), name=F.concat("name", F.lit("|"), "state"))
+    numbers = keys_of(rows, phone=F.col("phone"))
+    weak = keys_of(rows, domain=F.col("domain")).withColumn("first_only", F.lit(True))
+    if most_names is not None:
+        numbers, shared = growing.split_shared(numbers, rows, most_names)
+        weak = weak.unionByName(shared.withColumn("first_only", F.lit(False)))
+    return rows, growing.growing_components(rows, strong.unionByName(numbers), weak)
+
+
+def merged(t, most_names=None):
+    return growing.merge_rows(*grown(t, most_names), SETS, ["company_name", "state"], "kw")
+
+
+@query("d08b_growing_index")
+def d08b(t):
+    """Mail domains merge by a similar name as well; what merged rows bring along counts on."""
+    return merged(t).entities
+
+
+@query("d08c_shared_numbers")
+def d08c(t):
+    """As d08b, but a number of many different names needs a similar name."""
+    return merged(t, NAMES_OF_A_NUMBER).entities
+
+
+@query("d08d_merged_values")
+def d08d(t):
+    """The sets of d08c's entities."""
+    return merged(t, NAMES_OF_A_NUMBER).values
+
+
 OVERLAP = """SELECT entity_key, min_by(name, dealer_id) AS name, min_by(city, dealer_id) AS city,
     min_by(state, dealer_id) AS state, min_by(tier, dealer_id) AS tier, count(DISTINCT brand) AS brand_count,
     string_agg(DISTINCT brand, ', ' ORDER BY brand) AS brands
