@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import domains, fixed_values as fixed, names
+from ..functions import domains, fixed_values as fixed, names, text
 from ..functions.similarity import block_ratio
-from ..operators import enrich, linkage
+from ..operators import enrich, inserts, linkage
 from ..session import cut_lineage
 from . import duck
 from .registry import query
@@ -230,8 +230,7 @@ def _in_state(df, id_column, id_name, state):
     )
 
 
-@query("j13_ranking_links_fuzzy")
-def j13(t):
+def ranking_links(t):
     """Exact name and state, then similar name in the state; what is left becomes a new entity."""
     ranks = named_rankings(t)  # without a state a ranking matches nothing and is new
     entities = master(t)
@@ -255,34 +254,73 @@ def j13(t):
     )
 
 
+@query("j13_ranking_links_fuzzy")
+def j13(t):
+    return ranking_links(t)
+
+
+def ranking_entities(t):
+    """All links, the entities to insert, and the rankings that go to them."""
+    links = cut_lineage(ranking_links(t))
+    unmatched = named_rankings(t).join(links.where("match_type = 'new'").select("ranking_id"), "ranking_id").select(
+        F.col("ranking_id").alias("record_id"), "company_name", "name_key", F.col("headquarters_state").alias("state"))
+    return links, *inserts.new_entities(unmatched, master(t))
+
+
+@query("j13b_new_entities")
+def j13b(t):
+    """The entities that the rankings add: one per name and state, ids behind the highest."""
+    _, inserted, _ = ranking_entities(t)
+    return inserted.withColumn("source", F.lit("ranking"))
+
+
+@query("j13c_ranking_entities")
+def j13c(t):
+    """Every ranking with its entity, found or new."""
+    links, _, placed = ranking_entities(t)
+    own = placed.select(F.col("record_id").alias("ranking_id"), F.col("entity_id").alias("new_id"))
+    return links.join(own, "ranking_id", "left").select(
+        "ranking_id", F.coalesce("entity_id", "new_id").alias("entity_id"), "match_type")
+
+
 MAIL_FILL_THRESHOLD = 0.90
 
 
-@query("j14_email_fill")
-def j14(t):
-    """E-mails for licensed entities by name, exact (80) then similar (75); present ones stay."""
+def licensed_entities(t):
+    """Master rows in each state where they hold a licence, and the owner of every name there."""
     entities = master(t).where("name_key IS NOT NULL")
     held = t.licenses.where("state IS NOT NULL").select(
         F.col("contractor_id").alias("entity_id"), F.col("state").alias("block")).distinct()
     licensed = cut_lineage(entities.join(held, "entity_id"))
-    donors = cut_lineage(
-        t.dealers.where("state IS NOT NULL").select(
-            F.col("dealer_id").alias("record_id"), domains.email_key("email").alias("mail"),
-            names.company_key("name").alias("name"), F.col("state").alias("block"),
-        ).where("mail IS NOT NULL AND name IS NOT NULL")
-    )
     owners = licensed.groupBy("block", F.col("name_key").alias("name")).agg(
         F.min("entity_id").alias("entity_id"))
+    return licensed, owners
+
+
+def matched_donors(donors, owners, *carry):
+    """Donors (record_id, block, name) by equal name (80), else by a similar one (75)."""
     exact = donors.join(owners, ["block", "name"]).withColumn("confidence", F.lit(80))
     rest = donors.join(exact.select("record_id"), "record_id", "left_anti")
     known = owners.select("entity_id", "block", "name")
     fuzzy = linkage.fuzzy_first(
         rest.select("record_id", "block", "name"), known,
         block_ratio(F.col("new_name"), F.col("known_name")), MAIL_FILL_THRESHOLD,
-    ).join(rest.select("record_id", "mail"), "record_id").withColumn("confidence", F.lit(75))
-    columns = ["record_id", "entity_id", "mail", "confidence"]
-    offers = exact.select(*columns).unionByName(fuzzy.select(*columns))
-    best = offers.groupBy("entity_id").agg(
+    ).join(rest.select("record_id", *carry), "record_id").withColumn("confidence", F.lit(75))
+    columns = ["record_id", "entity_id", *carry, "confidence"]
+    return exact.select(*columns).unionByName(fuzzy.select(*columns))
+
+
+@query("j14_email_fill")
+def j14(t):
+    """E-mails for licensed entities by name, exact (80) then similar (75); present ones stay."""
+    licensed, owners = licensed_entities(t)
+    donors = cut_lineage(
+        t.dealers.where("state IS NOT NULL").select(
+            F.col("dealer_id").alias("record_id"), domains.email_key("email").alias("mail"),
+            names.company_key("name").alias("name"), F.col("state").alias("block"),
+        ).where("mail IS NOT NULL AND name IS NOT NULL")
+    )
+    best = matched_donors(donors, owners, "mail").groupBy("entity_id").agg(
         F.min_by(F.struct("mail", "confidence"), "record_id").alias("o")
     )
     return licensed.drop("block").distinct().join(best, "entity_id").select(
@@ -291,6 +329,21 @@ def j14(t):
     )
 
 
+@query("j14b_contact_rows")
+def j14b(t):
+    """The people of registry rows whose company has a licensed entity, as new contacts of it."""
+    _, owners = licensed_entities(t)
+    donors = cut_lineage(
+        t.registry.where("state IS NOT NULL").select(
+            F.col("row_no").alias("record_id"), domains.email_key("email").alias("email"),
+            text.clean("person_name").alias("contact_name"), names.company_key("business_name").alias("name"),
+            F.col("state").alias("block"),
+        ).where("name IS NOT NULL AND contact_name IS NOT NULL")
+    )
+    matched = matched_donors(donors, owners, "email", "contact_name")
+    return inserts.new_contacts(matched, master_contacts(t)).withColumn("source", F.lit("registry"))
+
+
 @query(
     "j15_contact_fill",
     f"""WITH spread AS (SELECT contractor_id FROM licenses GROUP BY 1 HAVING count(DISTINCT state) >= 2),
