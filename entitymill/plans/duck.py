@@ -134,3 +134,33 @@ def div_half_up(n: str, d: str) -> str:
 def percent(part: str, whole: str, digits: int = 1) -> str:
     scale = 10**digits
     return f"({div_half_up(f'({part}) * {100 * scale}', whole)} / {scale}.0::DOUBLE)"
+
+
+# Matching blocks of `pairs` (pair, a, b): the longest common run of a range, the first in a and then in b of
+# equally long ones, then the ranges before and behind it. ratio is twice the matched letters by all letters.
+BLOCK_RATIOS = """letters AS (
+        SELECT pair, i, j FROM (SELECT pair, a, b, i, unnest(range(1, length(b) + 1)) AS j
+            FROM (SELECT pair, a, b, unnest(range(1, length(a) + 1)) AS i FROM pairs)) WHERE a[i] = b[j]),
+    runs AS (
+        SELECT pair, i, j, count(*) OVER (PARTITION BY pair, i - j, island ORDER BY i DESC) AS run
+        FROM (SELECT *, i - row_number() OVER (PARTITION BY pair, i - j ORDER BY i) AS island FROM letters)),
+    parts AS (
+        SELECT pair, CAST(1 AS BIGINT) AS alo, length(a) + 1 AS ahi, CAST(1 AS BIGINT) AS blo, length(b) + 1 AS bhi,
+            CAST(0 AS BIGINT) AS matched FROM pairs
+        UNION ALL
+        SELECT pair, unnest([alo, i + size]), unnest([i, ahi]), unnest([blo, j + size]), unnest([j, bhi]),
+            unnest([size, CAST(0 AS BIGINT)])
+        FROM (SELECT pair, alo, ahi, blo, bhi, best.size AS size, -best.i AS i, -best.j AS j
+            FROM (SELECT parts.pair, alo, ahi, blo, bhi,
+                    max({'size': least(run, ahi - i, bhi - j), 'i': -i, 'j': -j}) AS best
+                FROM parts JOIN runs ON runs.pair = parts.pair AND i >= alo AND i < ahi AND j >= blo AND j < bhi
+                GROUP BY ALL))),
+    ratios AS (
+        SELECT a, b, CAST(2 AS DOUBLE) * CAST(sum(matched) AS BIGINT) / (length(a) + length(b)) AS ratio
+        FROM parts JOIN pairs USING (pair) GROUP BY a, b)"""
+
+
+def distinct_pairs(source: str) -> str:
+    """The table that BLOCK_RATIOS starts from, of a source with a and b."""
+    return (f"pairs AS (SELECT a, b, row_number() OVER (ORDER BY a, b) AS pair "
+            f"FROM (SELECT DISTINCT a, b FROM ({source}) WHERE a IS NOT NULL AND b IS NOT NULL))")

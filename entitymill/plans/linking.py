@@ -230,6 +230,23 @@ def _in_state(df, id_column, id_name, state):
     )
 
 
+RANKING_LINKS = f"""WITH RECURSIVE {MK}, r AS (SELECT ranking_id, company_name, headquarters_state AS hs,
+        {duck.company_key('company_name')} AS name_key FROM rankings),
+    exact AS (SELECT r.ranking_id, min(mk.id) AS entity_id FROM r LEFT JOIN mk ON mk.name_key = r.name_key
+        AND (mk.state = r.hs OR r.hs IS NULL) GROUP BY r.ranking_id),
+    rest AS (SELECT ranking_id, hs AS block, {duck.company_key('name_key')} AS a FROM r JOIN exact USING (ranking_id)
+        WHERE entity_id IS NULL),
+    known AS (SELECT state AS block, {duck.company_key('name_key')} AS b, min(id) AS known_id FROM mk GROUP BY ALL),
+    {duck.distinct_pairs('SELECT a, b FROM rest JOIN known USING (block)')}, {duck.BLOCK_RATIOS},
+    fuzzy AS (SELECT ranking_id, min(known_id) AS fuzzy_id FROM rest JOIN known USING (block) JOIN ratios USING (a, b)
+        WHERE ratio >= {linkage.FUZZY_THRESHOLD} GROUP BY ranking_id),
+    links AS (SELECT ranking_id, coalesce(entity_id, fuzzy_id) AS entity_id, CASE WHEN entity_id IS NOT NULL THEN 'exact'
+        WHEN fuzzy_id IS NOT NULL THEN 'fuzzy' ELSE 'new' END AS match_type FROM exact LEFT JOIN fuzzy USING (ranking_id)),
+    fresh AS (SELECT name_key, hs, min(ranking_id) AS first_record_id, min_by(company_name, ranking_id) AS company_name,
+        count(*) AS records FROM r JOIN links USING (ranking_id) WHERE match_type = 'new' AND name_key IS NOT NULL GROUP BY ALL),
+    inserted AS (SELECT (SELECT max(id) FROM contractors) + row_number() OVER (ORDER BY first_record_id) AS new_id, * FROM fresh)"""
+
+
 def ranking_links(t):
     """Exact name and state, then similar name in the state; what is left becomes a new entity."""
     ranks = named_rankings(t)  # without a state a ranking matches nothing and is new
@@ -254,7 +271,7 @@ def ranking_links(t):
     )
 
 
-@query("j13_ranking_links_fuzzy")
+@query("j13_ranking_links_fuzzy", RANKING_LINKS + " SELECT * FROM links")
 def j13(t):
     return ranking_links(t)
 
@@ -267,14 +284,23 @@ def ranking_entities(t):
     return links, *inserts.new_entities(unmatched, master(t))
 
 
-@query("j13b_new_entities")
+@query(
+    "j13b_new_entities",
+    RANKING_LINKS + """ SELECT new_id AS entity_id, company_name, name_key, hs AS state, first_record_id, records,
+        'ranking' AS source FROM inserted""",
+)
 def j13b(t):
     """The entities that the rankings add: one per name and state, ids behind the highest."""
     _, inserted, _ = ranking_entities(t)
     return inserted.withColumn("source", F.lit("ranking"))
 
 
-@query("j13c_ranking_entities")
+@query(
+    "j13c_ranking_entities",
+    RANKING_LINKS + """ SELECT ranking_id, coalesce(entity_id, new_id) AS entity_id, match_type FROM links
+        JOIN r USING (ranking_id) LEFT JOIN inserted n ON match_type = 'new' AND n.name_key = r.name_key
+        AND n.hs IS NOT DISTINCT FROM r.hs""",
+)
 def j13c(t):
     """Every ranking with its entity, found or new."""
     links, _, placed = ranking_entities(t)

@@ -95,7 +95,14 @@ def _name_pairs(t):
     return keyed.join(first, "domain")
 
 
-@query("n20_block_ratio")
+@query(
+    "n20_block_ratio",
+    f"""WITH RECURSIVE k AS (SELECT dealer_id, {duck.company_key('name')} AS name_key, {duck.root_domain('website')} AS domain FROM dealers),
+        f AS (SELECT domain, first(name_key ORDER BY dealer_id) AS first_key FROM k WHERE domain IS NOT NULL GROUP BY domain),
+        {duck.distinct_pairs('SELECT name_key AS a, first_key AS b FROM k JOIN f USING (domain)')}, {duck.BLOCK_RATIOS}
+        SELECT dealer_id, coalesce(ratio, 0) AS ratio
+        FROM k JOIN f USING (domain) LEFT JOIN ratios ON a = name_key AND b = first_key""",
+)
 def n20(t):
     return _name_pairs(t).select(
         "dealer_id", block_ratio(F.col("name_key"), F.col("first_key")).alias("ratio")
