@@ -336,7 +336,30 @@ def matched_donors(donors, owners, *carry):
     return exact.select(*columns).unionByName(fuzzy.select(*columns))
 
 
-@query("j14_email_fill")
+def offers_sql(donors):
+    """SQL of matched_donors: offers (record_id, entity_id, confidence) of donors (record_id, a, block, ...)."""
+    long_enough = f"2.0 * least(length(a), length(b)) >= {MAIL_FILL_THRESHOLD} * (length(a) + length(b))"
+    pairs = duck.distinct_pairs(f"SELECT a, b FROM rest JOIN owners USING (block) WHERE {long_enough}")
+    return f"""WITH RECURSIVE {MK}, licensed AS (SELECT DISTINCT mk.id AS entity_id, primary_email AS held_email, name_key, l.state AS block
+        FROM mk JOIN licenses l ON l.contractor_id = mk.id WHERE name_key IS NOT NULL AND l.state IS NOT NULL),
+    owners AS (SELECT block, name_key AS b, min(entity_id) AS entity_id FROM licensed GROUP BY ALL),
+    donors AS ({donors}),
+    exact AS (SELECT record_id, entity_id FROM donors JOIN owners ON owners.block = donors.block AND b = a),
+    rest AS (SELECT * FROM donors WHERE record_id NOT IN (SELECT record_id FROM exact)), {pairs}, {duck.BLOCK_RATIOS},
+    offers AS (SELECT record_id, entity_id, 80 AS confidence FROM exact UNION ALL
+        SELECT record_id, min(entity_id), 75 FROM rest JOIN owners USING (block) JOIN ratios USING (a, b)
+        WHERE ratio >= {MAIL_FILL_THRESHOLD} GROUP BY record_id)"""
+
+
+@query(
+    "j14_email_fill",
+    offers_sql(f"""SELECT * FROM (SELECT dealer_id AS record_id, {duck.email_key('email')} AS mail,
+        {duck.company_key('name')} AS a, state AS block FROM dealers) WHERE mail IS NOT NULL AND a IS NOT NULL AND block IS NOT NULL""")
+    + """, best AS (SELECT entity_id, min_by(mail, record_id) AS mail, min_by(confidence, record_id) AS confidence
+        FROM offers JOIN donors USING (record_id) GROUP BY entity_id)
+        SELECT entity_id, coalesce(held_email, mail) AS email, held_email IS NULL AS was_filled, confidence
+        FROM (SELECT DISTINCT entity_id, held_email FROM licensed) JOIN best USING (entity_id)""",
+)
 def j14(t):
     """E-mails for licensed entities by name, exact (80) then similar (75); present ones stay."""
     licensed, owners = licensed_entities(t)
@@ -355,7 +378,20 @@ def j14(t):
     )
 
 
-@query("j14b_contact_rows")
+@query(
+    "j14b_contact_rows",
+    offers_sql(f"""SELECT * FROM (SELECT row_no AS record_id, {duck.email_key('email')} AS email, {duck.clean('person_name')} AS contact_name,
+        {duck.company_key('business_name')} AS a, state AS block FROM registry)
+        WHERE a IS NOT NULL AND contact_name IS NOT NULL AND block IS NOT NULL""")
+    + f""", people AS (SELECT entity_id, contact_name, email, confidence, record_id FROM offers JOIN donors USING (record_id)),
+        held AS (SELECT contractor_id AS entity_id, contact_name, {duck.email_key('email')} AS email FROM contacts),
+        by_mail AS (SELECT * FROM people WHERE email IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY entity_id, email ORDER BY record_id) = 1),
+        by_name AS (SELECT * FROM people WHERE email IS NULL
+            QUALIFY row_number() OVER (PARTITION BY entity_id, contact_name ORDER BY record_id) = 1)
+        SELECT *, 'registry' AS source FROM by_mail ANTI JOIN held USING (entity_id, email) UNION ALL
+        SELECT *, 'registry' FROM by_name ANTI JOIN held USING (entity_id, contact_name)""",
+)
 def j14b(t):
     """The people of registry rows whose company has a licensed entity, as new contacts of it."""
     _, owners = licensed_entities(t)
