@@ -8,6 +8,7 @@ texts are shuffled to them.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
@@ -26,8 +27,8 @@ def repeated_runs(texts: DataFrame, scan: Callable, hot_rows: int) -> DataFrame:
     """(key, runs) of the texts that hold a repeated minimiser.
 
     scan: mapInArrow function from (key, text) to (mark, key, anchor, first, last). Minimisers
-    with more than hot_rows occurrences are flagged hot: the finders then deal single windows
-    by their whole content instead of by the minimiser, so that no bucket takes them all.
+    with more than hot_rows occurrences are flagged hot: their windows go to repeated_singly
+    instead of a bucket, so that no group takes them all.
     """
     schema = f"mark bigint, key {tb.KEY_TYPE}, anchor int, first int, last int"
     found = keep_table(texts.mapInArrow(scan, schema), "minimisers")
@@ -40,10 +41,31 @@ def repeated_runs(texts: DataFrame, scan: Callable, hot_rows: int) -> DataFrame:
     return keep_table(runs, "runs")
 
 
+def digest(window: bytes) -> bytes:
+    """Stands for the whole window: 128 bits of a cryptographic hash."""
+    return hashlib.blake2b(window, digest_size=16).digest()
+
+
+def repeated_singly(windows: DataFrame, length: int) -> DataFrame:
+    """Spans (key, low, high) of the single windows whose content occurs again.
+
+    windows: (digest, keys, firsts), a written table; a row is a window with its places in one
+    batch. Digests are counted first, with partial sums before the shuffle, and only the flag is
+    joined back: the places of one window never have to meet, and the join can split a hot digest.
+    """
+    again = keep_table(
+        windows.groupBy("digest").agg(F.sum(F.size("keys")).alias("n")).where("n > 1").select("digest"),
+        "repeated-windows").hint("merge")
+    places = windows.join(again, "digest").select(F.explode(F.arrays_zip("keys", "firsts")).alias("p"))
+    low = F.col("p.firsts").cast("long")
+    return places.select(F.col("p.keys").alias("key"), low.alias("low"), (low + length).alias("high"))
+
+
 def bucket_count(runs: DataFrame, windows_per_bucket: int) -> int:
-    """Buckets so that one holds about windows_per_bucket windows."""
+    """Buckets so that one holds about windows_per_bucket windows; hot ones go to no bucket."""
+    size = lambda r: F.when(r["hot"], 0).otherwise(r["last"] - r["first"] + 1)
     total = runs.select(
-        F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"] + 1).alias("n")
+        F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + size(r)).alias("n")
     ).agg(F.sum("n")).first()[0]
     floor = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(floor, -(-(total or 0) // windows_per_bucket))

@@ -5,13 +5,14 @@ Consecutive windows with the same minimiser form a super-k-mer. It travels as on
 (its words joined by a space) to the bucket of its minimiser; there the windows of all packed
 strings are sorted as whole strings and equal neighbours are counted. Each word under a window
 that occurs again, in any text, is removed. Nothing rests on hashes: they choose minimisers and
-buckets, equality is that of the sorted strings.
+buckets, equality is that of the sorted strings. Only the windows of hot minimisers (below) are
+counted by a cryptographic digest of 128 bits.
 
 Scale: the texts are scanned once for minimisers, and shuffled to their repeated ones and to
 their removed spans. Equal packed strings of a batch travel once with their places. A minimiser
-with more than `hot_rows` occurrences does not stay one group: its windows travel singly, dealt
-by their own content, which takes more bytes but spreads any group. What one bucket holds is
-bounded by `windows_per_bucket`, except for copies of one and the same window.
+with more than `hot_rows` occurrences goes to no bucket: the digests of its windows are counted
+with partial sums, and the flag is joined back to their places, which never meet. What one bucket
+holds is bounded by `windows_per_bucket` and by `hot_rows` runs of one minimiser.
 
 Defined cases: null, empty and blank texts have no words and stay as they are (the kept text is
 empty); texts shorter than a window lose nothing; repeated rows are copies of each other, so
@@ -31,8 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import keep_table
 from . import textbytes as tb
-from .repeats import bucket_count, repeated_runs, spans_by_text, spans_of_places
+from .repeats import bucket_count, digest, repeated_runs, repeated_singly, spans_by_text, spans_of_places
 
 WINDOW = 35
 GRAM = 8
@@ -58,19 +60,22 @@ def _scan(window: int, gram: int):
 
 
 def _pack(window: int, gram: int, buckets: int):
-    """Super-k-mers of the repeated runs; equal ones of a batch as one row with their places."""
+    """Super-k-mers of the repeated runs; equal ones of a batch as one row with their places.
+
+    Hot runs give the digests of their single windows instead, without a bucket.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+            packed: dict[tuple[int | None, bytes], list[tuple[int, int]]] = {}
             texts, runs = batch.column("text"), batch.column("runs")
             for row in range(len(batch)):
                 words = texts[row].as_py().encode().split()
                 for r in runs[row].as_py():
                     if r["hot"]:
                         for s in range(r["first"], r["last"] + 1):
-                            one = b" ".join(words[s : s + window])
-                            packed.setdefault((zlib.crc32(one) % buckets, one), []).append((row, s))
+                            one = digest(b" ".join(words[s : s + window]))
+                            packed.setdefault((None, one), []).append((row, s))
                     else:
                         mark = b" ".join(words[r["anchor"] : r["anchor"] + gram])
                         one = b" ".join(words[r["first"] : r["last"] + window])
@@ -147,12 +152,13 @@ def repeated_spans(
     """(key, spans) of (key, text): runs of words under windows that occur again."""
     runs = repeated_runs(texts, _scan(window, gram), hot_rows)
     buckets = bucket_count(runs, windows_per_bucket)
-    packed = texts.join(runs, "key").select("key", "text", "runs").mapInArrow(
+    packed = keep_table(texts.join(runs, "key").select("key", "text", "runs").mapInArrow(
         _pack(window, gram, buckets),
-        f"bucket int, packed binary, keys array<{tb.KEY_TYPE}>, firsts array<int>")
-    spans = packed.groupBy("bucket").applyInArrow(
+        f"bucket int, packed binary, keys array<{tb.KEY_TYPE}>, firsts array<int>"), "packed")
+    spans = packed.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(
         _count(window), f"key {tb.KEY_TYPE}, low bigint, high bigint")
-    return spans_by_text(spans)
+    hot = packed.where("bucket IS NULL").withColumnRenamed("packed", "digest")
+    return spans_by_text(spans.unionByName(repeated_singly(hot, window)))
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,9 +17,10 @@ the common prefix of all neighbours. For each offset those lengths cut both orde
 windows in the same forward and backward class as another one are the repeated ones.
 
 Scale: sampling leaves about 2 / (window - gram) suffixes per byte, and of these only the
-repeated ones travel. An anchor with more than `hot_rows` occurrences does not stay one group: its
-windows travel singly, dealt by their own content. What a bucket holds is bounded by
-`windows_per_bucket`, except for copies of one and the same window.
+repeated ones travel. An anchor with more than `hot_rows` occurrences goes to no bucket: 128-bit
+digests of its windows are counted with partial sums, and the flag is joined back to their places,
+which never meet. What a bucket holds is bounded by `windows_per_bucket` and by `hot_rows` runs
+of one anchor.
 
 Defined cases: null and empty texts have no bytes; texts shorter than a window lose nothing;
 repeated rows are copies of each other; a null doc_id is an id like any other; other columns are
@@ -37,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import keep_table
 from . import textbytes as tb
-from .repeats import bucket_count, repeated_runs, spans_by_text, spans_of_places
+from .repeats import bucket_count, digest, repeated_runs, repeated_singly, spans_by_text, spans_of_places
 
 WINDOW = 400
 GRAM = 48
@@ -146,19 +148,25 @@ def _scan(window: int, gram: int):
 
 _RUN = "lcps array<int>, rests array<binary>, at array<int>"
 _SENT = f"bucket int, least array<int>, most array<int>, owner array<int>, keys array<{tb.KEY_TYPE}>, anchor array<int>, " + (
-    f"ahead struct<{_RUN.replace(' array', ':array')}>, behind struct<{_RUN.replace(' array', ':array')}>")
+    f"ahead struct<{_RUN.replace(' array', ':array')}>, behind struct<{_RUN.replace(' array', ':array')}>, digest binary")
 
 
 def _send(window: int, gram: int, buckets: int):
-    """A front-coded run of forward and one of backward suffixes per bucket and batch."""
+    """A front-coded run of forward and one of backward suffixes per bucket and batch.
+
+    Hot runs give the digests of their single windows instead, without a bucket.
+    """
 
     def coded(strings: list[bytes]) -> dict:
         order = sorted(range(len(strings)), key=strings.__getitem__)
         lcps, rests = front_code([strings[i] for i in order])
         return {"lcps": lcps, "rests": rests, "at": order}
 
-    def packed(held: dict[int, dict], schema: pa.Schema) -> pa.RecordBatch:
+    def packed(held: dict[int, dict], single: dict[bytes, list], schema: pa.Schema) -> pa.RecordBatch:
         rows = []
+        for mark, found in single.items():
+            keys, firsts = zip(*found, strict=True)
+            rows.append({"digest": mark, "keys": keys, "anchor": firsts})
         for bucket, entries in held.items():
             least, most, ahead, behind = zip(*entries, strict=True)
             places = [(entry, *p) for entry, found in enumerate(entries.values()) for p in found]
@@ -172,26 +180,33 @@ def _send(window: int, gram: int, buckets: int):
         ints = pa.list_(pa.int32())
         one = pa.struct([("lcps", ints), ("rests", pa.list_(pa.binary())), ("at", ints)])
         schema = pa.schema([("bucket", pa.int32()), ("least", ints), ("most", ints), ("owner", ints),
-                            ("keys", pa.list_(key)), ("anchor", ints), ("ahead", one), ("behind", one)])
+                            ("keys", pa.list_(key)), ("anchor", ints), ("ahead", one), ("behind", one),
+                            ("digest", pa.binary())])
         for batch in batches:
             # per bucket: offsets and suffixes of an entry, and all its places
             held: dict[int, dict[tuple, list]] = {}
+            single: dict[bytes, list] = {}
             count = 0
             for text, key_, runs in zip(*(batch.column(c) for c in ("text", "key", "runs")), strict=True):
                 data, key_ = text.as_py().encode(), key_.as_py()
                 for r in runs.as_py():
                     a, first, last = r["anchor"], r["first"], r["last"]
-                    for f, l in [(s, s) for s in range(first, last + 1)] if r["hot"] else [(first, last)]:
-                        mark = data[f : f + window] if r["hot"] else data[a : a + gram]
-                        entry = (a - l, a - f, data[a : l + window], data[f:a][::-1])
-                        places = held.setdefault(zlib.crc32(mark) % buckets, {}).setdefault(entry, [])
+                    if r["hot"]:
+                        for f in range(first, last + 1):
+                            places = single.setdefault(digest(data[f : f + window]), [])
+                            count += not places
+                            places.append((key_, f))
+                    else:
+                        entry = (a - last, a - first, data[a : last + window], data[first:a][::-1])
+                        bucket = zlib.crc32(data[a : a + gram]) % buckets
+                        places = held.setdefault(bucket, {}).setdefault(entry, [])
                         count += not places
                         places.append((key_, a))
-                if count >= RUN_SUFFIXES:
-                    yield packed(held, schema)
-                    held, count = {}, 0
-            if held:
-                yield packed(held, schema)
+                    if count >= RUN_SUFFIXES:
+                        yield packed(held, single, schema)
+                        held, single, count = {}, {}, 0
+            if count:
+                yield packed(held, single, schema)
 
     return run
 
@@ -270,10 +285,12 @@ def repeated_spans(
     """(key, spans) of (key, text): byte runs under windows that start elsewhere too."""
     runs = repeated_runs(texts, _scan(window, gram), hot_rows)
     buckets = bucket_count(runs, windows_per_bucket)
-    sent = texts.join(runs, "key").select("key", "text", "runs").mapInArrow(_send(window, gram, buckets), _SENT)
-    spans = sent.groupBy("bucket").applyInArrow(
+    sent = keep_table(
+        texts.join(runs, "key").select("key", "text", "runs").mapInArrow(_send(window, gram, buckets), _SENT), "sent")
+    spans = sent.where("bucket IS NOT NULL").drop("digest").groupBy("bucket").applyInArrow(
         _receive(window), f"key {tb.KEY_TYPE}, low bigint, high bigint")
-    return spans_by_text(spans)
+    hot = sent.where("bucket IS NULL").select("digest", "keys", F.col("anchor").alias("firsts"))
+    return spans_by_text(spans.unionByName(repeated_singly(hot, window)))
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
