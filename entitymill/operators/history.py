@@ -2,17 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .numbering import newest_per_group
 
 
-def file_fingerprints(files: DataFrame, lines: DataFrame) -> DataFrame:
-    """sha256, size and rows per file. files: binaryFile rows; lines: one row per line with path."""
-    rows = lines.groupBy("path").agg(F.count(F.lit(1)).alias("row_count"))
-    hashed = files.select("path", F.sha2("content", 256).alias("file_hash"), F.col("length").alias("size_bytes"))
-    return hashed.join(rows, "path", "left").fillna(0, subset=["row_count"])
+def _digest_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash, size and rows of each file, from its lines in order; one batch is held at a time.
+
+    The line feed between two lines is hashed with the second one; the file size tells whether
+    one follows the last line.
+    """
+    path, size, digest, taken, rows = None, 0, None, 0, 0
+
+    def finished() -> pa.RecordBatch:
+        if taken < size:
+            digest.update(b"\n")
+        return pa.RecordBatch.from_pydict(
+            {"path": [path], "file_hash": [digest.hexdigest()], "size_bytes": pa.array([size], pa.int64()),
+             "row_count": pa.array([rows], pa.int64())})
+
+    for batch in batches:
+        names = batch.column("path").to_pylist()
+        lines = batch.column("line").to_pylist()
+        sizes = batch.column("size").to_pylist()
+        at = 0
+        while at < len(names):
+            end = at
+            while end < len(names) and names[end] == names[at]:
+                end += 1
+            if names[at] != path:
+                if path is not None:
+                    yield finished()
+                path, size, digest, taken, rows = names[at], sizes[at], hashlib.sha256(), 0, 0
+            piece = b"\n" * (rows > 0) + b"\n".join(lines[at:end])
+            digest.update(piece)
+            taken += len(piece)
+            rows += end - at
+            at = end
+    if path is not None:
+        yield finished()
+
+
+def file_fingerprints(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+    """path, file_hash (SHA-256 of the bytes), size_bytes and row_count of each file below path.
+
+    A file may have any size: Spark cuts it at line ends, its lines are put in order again and
+    hashed as a stream, as SHA-256 is sequential; different files go to different tasks. Bytes
+    that are no UTF-8 and carriage returns count as they are. A file without a byte has no row in
+    the result: Spark's readers pass over it. A single line has to fit in memory.
+    """
+    lines = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"),
+        F.col("value").cast("binary").alias("line"))
+    return lines.repartition("path").sortWithinPartitions("path", "block", "place").mapInArrow(
+        _digest_lines, "path string, file_hash string, size_bytes bigint, row_count bigint")
 
 
 def not_yet_imported(candidates: DataFrame, manifest: DataFrame, key: str = "file_hash") -> DataFrame:

@@ -18,15 +18,18 @@ from .scored import CAPS, G01_SQL, capable, name_scored
 from .shared import DK, keyed_dealers
 
 
-@query("x01_file_fingerprints")
+@query(
+    "x01_file_fingerprints",
+    """WITH l AS (SELECT source_file, dealer_id, dealer_id || chr(9) || coalesce(name, '') || chr(13) || chr(10) AS line FROM dealers),
+        f AS (SELECT source_file, string_agg(line, '' ORDER BY dealer_id) AS content, count(*) AS row_count FROM l GROUP BY 1)
+        SELECT source_file, sha256(content) AS file_hash, octet_length(encode(content)) AS size_bytes, row_count FROM f""",
+)
 def x01(t):
     path = scratch_dir(t.spark, "x01")
-    t.dealers.select("dealer_id", "name", "source_file").write.partitionBy("source_file").csv(path)
-    stored = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-    lines = t.spark.read.option("pathGlobFilter", "*.csv").text(path).select(
-        F.col("_metadata.file_path").alias("path")
-    )
-    return history.file_fingerprints(stored, lines).select(
+    line = F.concat(F.col("dealer_id").cast("string"), F.lit("\t"), F.coalesce("name", F.lit("")), F.lit("\r"))
+    rows = t.dealers.select("dealer_id", "source_file", line.alias("value")).repartition("source_file")
+    rows.sortWithinPartitions("source_file", "dealer_id").drop("dealer_id").write.partitionBy("source_file").text(path)
+    return history.file_fingerprints(t.spark, path, "*.txt").select(
         F.regexp_extract("path", "source_file=([^/]+)", 1).alias("source_file"),
         "file_hash", "size_bytes", "row_count",
     )
