@@ -9,7 +9,7 @@ texts are shuffled to them.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ def repeated_runs(texts: DataFrame, scan: Callable, hot_rows: int) -> DataFrame:
     """(key, runs) of the texts that hold a repeated minimiser.
 
     scan: mapInArrow function from (key, text) to (mark, key, anchor, first, last). Minimisers
-    with more than hot_rows occurrences are flagged hot: their windows go to repeated_singly
+    with more than hot_rows occurrences are flagged hot: their windows go to repeated_hot
     instead of a bucket, so that no group takes them all.
     """
     schema = f"mark bigint, key {tb.KEY_TYPE}, anchor int, first int, last int"
@@ -41,24 +41,46 @@ def repeated_runs(texts: DataFrame, scan: Callable, hot_rows: int) -> DataFrame:
     return keep_table(runs, "runs")
 
 
-def digest(window: bytes) -> bytes:
-    """Stands for the whole window: 128 bits of a cryptographic hash."""
-    return hashlib.blake2b(window, digest_size=16).digest()
+def digest(content: bytes) -> bytes:
+    """Stands for the whole content: 128 bits of a cryptographic hash."""
+    return hashlib.blake2b(content, digest_size=16).digest()
 
 
-def repeated_singly(windows: DataFrame, length: int) -> DataFrame:
-    """Spans (key, low, high) of the single windows whose content occurs again.
+# Hot runs of a batch, by the digest of the whole run: its places (key, first), its windows' digests.
+HotRuns = dict[bytes, tuple[list[tuple[dict, int]], list[bytes]]]
+HOT_TYPE = "run binary, digest binary, offset int, n bigint"
+HOT_FIELDS = [pa.field("run", pa.binary()), pa.field("digest", pa.binary()), pa.field("offset", pa.int32()),
+              pa.field("n", pa.int64())]
 
-    windows: (digest, keys, firsts), a written table; a row is a window with its places in one
-    batch. Digests are counted first, with partial sums before the shuffle, and only the flag is
-    joined back: the places of one window never have to meet, and the join can split a hot digest.
+
+def hot_rows_of(hot: HotRuns) -> Iterator[dict]:
+    """A row (run, keys, firsts) per hot run, and a row (run, digest, offset, n) per window of it."""
+    for run, (places, digests) in hot.items():
+        keys, firsts = zip(*places, strict=True)
+        yield {"run": run, "keys": keys, "firsts": firsts}
+        for offset, one in enumerate(digests):
+            yield {"run": run, "digest": one, "offset": offset, "n": len(places)}
+
+
+def repeated_hot(sent: DataFrame, length: int) -> DataFrame:
+    """Spans (key, low, high) of the windows of hot runs that occur again.
+
+    sent: the rows of hot_rows_of, a written table. Equal runs of a batch are one row, so copies
+    send their windows once. Digests of windows are counted with partial sums, and the flag goes
+    back to the runs and from these to their places: places never have to meet, and both joins
+    read bare shuffles, which can split a hot digest or run. All windows of a run hold its anchor,
+    so they overlap: the first and the last repeated one bound what is repeated.
     """
+    windows = sent.where("digest IS NOT NULL").select("run", "digest", "offset", "n")
     again = keep_table(
-        windows.groupBy("digest").agg(F.sum(F.size("keys")).alias("n")).where("n > 1").select("digest"),
-        "repeated-windows").hint("merge")
-    places = windows.join(again, "digest").select(F.explode(F.arrays_zip("keys", "firsts")).alias("p"))
-    low = F.col("p.firsts").cast("long")
-    return places.select(F.col("p.keys").alias("key"), low.alias("low"), (low + length).alias("high"))
+        windows.groupBy("digest").agg(F.sum("n").alias("n")).where("n > 1").select("digest"), "again").hint("merge")
+    found = keep_table(windows.join(again, "digest").groupBy("run").agg(
+        F.min("offset").cast("long").alias("low"), (F.max("offset") + length).cast("long").alias("high")),
+        "found").hint("merge")
+    places = sent.where("run IS NOT NULL AND digest IS NULL").select("run", "keys", "firsts").join(found, "run")
+    at = places.select(F.explode(F.arrays_zip("keys", "firsts")).alias("p"), "low", "high")
+    return at.select(F.col("p.keys").alias("key"), (F.col("p.firsts") + F.col("low")).alias("low"),
+                     (F.col("p.firsts") + F.col("high")).alias("high"))
 
 
 def bucket_count(runs: DataFrame, windows_per_bucket: int) -> int:

@@ -11,8 +11,8 @@ counted by a cryptographic digest of 128 bits.
 Scale: the texts are scanned once for minimisers, and shuffled to their repeated ones and to
 their removed spans. Equal packed strings of a batch travel once with their places. A minimiser
 with more than `hot_rows` occurrences goes to no bucket: the digests of its windows are counted
-with partial sums, and the flag is joined back to their places, which never meet. What one bucket
-holds is bounded by `windows_per_bucket` and by `hot_rows` runs of one minimiser.
+with partial sums, and the flag is joined back to the runs and to their places, which never meet.
+What one bucket holds is bounded by `windows_per_bucket` and by `hot_rows` runs of one minimiser.
 
 Defined cases: null, empty and blank texts have no words and stay as they are (the kept text is
 empty); texts shorter than a window lose nothing; repeated rows are copies of each other, so
@@ -34,7 +34,10 @@ from pyspark.sql import functions as F
 
 from ..session import keep_table
 from . import textbytes as tb
-from .repeats import bucket_count, digest, repeated_runs, repeated_singly, spans_by_text, spans_of_places
+from .repeats import (
+    HOT_FIELDS, HOT_TYPE, HotRuns, bucket_count, digest, hot_rows_of, repeated_hot, repeated_runs, spans_by_text,
+    spans_of_places,
+)
 
 WINDOW = 35
 GRAM = 8
@@ -62,24 +65,32 @@ def _scan(window: int, gram: int):
 def _pack(window: int, gram: int, buckets: int):
     """Super-k-mers of the repeated runs; equal ones of a batch as one row with their places.
 
-    Hot runs give the digests of their single windows instead, without a bucket.
+    Hot runs give digests instead, without a bucket.
     """
+    key = pa.struct([("doc_id", pa.int64()), ("tie", pa.int64())])
+    schema = pa.schema([("bucket", pa.int32()), ("packed", pa.binary()), ("keys", pa.list_(key)),
+                        ("firsts", pa.list_(pa.int32())), *HOT_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed: dict[tuple[int | None, bytes], list[tuple[int, int]]] = {}
+            packed: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+            hot: HotRuns = {}
             texts, runs = batch.column("text"), batch.column("runs")
             for row in range(len(batch)):
                 words = texts[row].as_py().encode().split()
                 for r in runs[row].as_py():
                     if r["hot"]:
-                        for s in range(r["first"], r["last"] + 1):
-                            one = digest(b" ".join(words[s : s + window]))
-                            packed.setdefault((None, one), []).append((row, s))
+                        one = digest(b" ".join(words[r["first"] : r["last"] + window]))
+                        if one not in hot:
+                            hot[one] = [], [digest(b" ".join(words[s : s + window]))
+                                            for s in range(r["first"], r["last"] + 1)]
+                        hot[one][0].append((batch.column("key")[row].as_py(), r["first"]))
                     else:
                         mark = b" ".join(words[r["anchor"] : r["anchor"] + gram])
                         one = b" ".join(words[r["first"] : r["last"] + window])
                         packed.setdefault((zlib.crc32(mark) % buckets, one), []).append((row, r["first"]))
+            if hot:
+                yield pa.RecordBatch.from_pylist(list(hot_rows_of(hot)), schema)
             if not packed:
                 continue
             places = list(packed.values())
@@ -89,7 +100,8 @@ def _pack(window: int, gram: int, buckets: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in packed], pa.int32()), pa.array([x for _, x in packed], pa.binary()),
                  pa.ListArray.from_arrays(ends, batch.column("key").take(rows)),
-                 pa.ListArray.from_arrays(ends, firsts)], ["bucket", "packed", "keys", "firsts"])
+                 pa.ListArray.from_arrays(ends, firsts),
+                 *(pa.nulls(len(packed), f.type) for f in HOT_FIELDS)], schema.names)
 
     return run
 
@@ -154,11 +166,11 @@ def repeated_spans(
     buckets = bucket_count(runs, windows_per_bucket)
     packed = keep_table(texts.join(runs, "key").select("key", "text", "runs").mapInArrow(
         _pack(window, gram, buckets),
-        f"bucket int, packed binary, keys array<{tb.KEY_TYPE}>, firsts array<int>"), "packed")
-    spans = packed.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(
+        f"bucket int, packed binary, keys array<{tb.KEY_TYPE}>, firsts array<int>, {HOT_TYPE}"), "packed")
+    cold = packed.where("bucket IS NOT NULL").select("bucket", "packed", "keys", "firsts")
+    spans = cold.groupBy("bucket").applyInArrow(
         _count(window), f"key {tb.KEY_TYPE}, low bigint, high bigint")
-    hot = packed.where("bucket IS NULL").withColumnRenamed("packed", "digest")
-    return spans_by_text(spans.unionByName(repeated_singly(hot, window)))
+    return spans_by_text(spans.unionByName(repeated_hot(packed, window)))
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

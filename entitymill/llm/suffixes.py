@@ -18,8 +18,8 @@ windows in the same forward and backward class as another one are the repeated o
 
 Scale: sampling leaves about 2 / (window - gram) suffixes per byte, and of these only the
 repeated ones travel. An anchor with more than `hot_rows` occurrences goes to no bucket: 128-bit
-digests of its windows are counted with partial sums, and the flag is joined back to their places,
-which never meet. What a bucket holds is bounded by `windows_per_bucket` and by `hot_rows` runs
+digests of its windows are counted with partial sums, and the flag is joined back to the runs and to
+their places, which never meet. What a bucket holds is bounded by `windows_per_bucket` and by `hot_rows` runs
 of one anchor.
 
 Defined cases: null and empty texts have no bytes; texts shorter than a window lose nothing;
@@ -40,7 +40,10 @@ from pyspark.sql import functions as F
 
 from ..session import keep_table
 from . import textbytes as tb
-from .repeats import bucket_count, digest, repeated_runs, repeated_singly, spans_by_text, spans_of_places
+from .repeats import (
+    HOT_FIELDS, HOT_TYPE, HotRuns, bucket_count, digest, hot_rows_of, repeated_hot, repeated_runs, spans_by_text,
+    spans_of_places,
+)
 
 WINDOW = 400
 GRAM = 48
@@ -148,13 +151,14 @@ def _scan(window: int, gram: int):
 
 _RUN = "lcps array<int>, rests array<binary>, at array<int>"
 _SENT = f"bucket int, least array<int>, most array<int>, owner array<int>, keys array<{tb.KEY_TYPE}>, anchor array<int>, " + (
-    f"ahead struct<{_RUN.replace(' array', ':array')}>, behind struct<{_RUN.replace(' array', ':array')}>, digest binary")
+    f"ahead struct<{_RUN.replace(' array', ':array')}>, behind struct<{_RUN.replace(' array', ':array')}>, ") + (
+    f"firsts array<int>, {HOT_TYPE}")
 
 
 def _send(window: int, gram: int, buckets: int):
     """A front-coded run of forward and one of backward suffixes per bucket and batch.
 
-    Hot runs give the digests of their single windows instead, without a bucket.
+    Hot runs give digests instead, without a bucket.
     """
 
     def coded(strings: list[bytes]) -> dict:
@@ -162,11 +166,8 @@ def _send(window: int, gram: int, buckets: int):
         lcps, rests = front_code([strings[i] for i in order])
         return {"lcps": lcps, "rests": rests, "at": order}
 
-    def packed(held: dict[int, dict], single: dict[bytes, list], schema: pa.Schema) -> pa.RecordBatch:
-        rows = []
-        for mark, found in single.items():
-            keys, firsts = zip(*found, strict=True)
-            rows.append({"digest": mark, "keys": keys, "anchor": firsts})
+    def packed(held: dict[int, dict], hot: HotRuns, schema: pa.Schema) -> pa.RecordBatch:
+        rows = list(hot_rows_of(hot))
         for bucket, entries in held.items():
             least, most, ahead, behind = zip(*entries, strict=True)
             places = [(entry, *p) for entry, found in enumerate(entries.values()) for p in found]
@@ -181,21 +182,22 @@ def _send(window: int, gram: int, buckets: int):
         one = pa.struct([("lcps", ints), ("rests", pa.list_(pa.binary())), ("at", ints)])
         schema = pa.schema([("bucket", pa.int32()), ("least", ints), ("most", ints), ("owner", ints),
                             ("keys", pa.list_(key)), ("anchor", ints), ("ahead", one), ("behind", one),
-                            ("digest", pa.binary())])
+                            ("firsts", ints), *HOT_FIELDS])
         for batch in batches:
             # per bucket: offsets and suffixes of an entry, and all its places
             held: dict[int, dict[tuple, list]] = {}
-            single: dict[bytes, list] = {}
+            hot: HotRuns = {}
             count = 0
             for text, key_, runs in zip(*(batch.column(c) for c in ("text", "key", "runs")), strict=True):
                 data, key_ = text.as_py().encode(), key_.as_py()
                 for r in runs.as_py():
                     a, first, last = r["anchor"], r["first"], r["last"]
                     if r["hot"]:
-                        for f in range(first, last + 1):
-                            places = single.setdefault(digest(data[f : f + window]), [])
-                            count += not places
-                            places.append((key_, f))
+                        mark = digest(data[first : last + window])
+                        if mark not in hot:
+                            hot[mark] = [], [digest(data[f : f + window]) for f in range(first, last + 1)]
+                            count += last - first + 1
+                        hot[mark][0].append((key_, first))
                     else:
                         entry = (a - last, a - first, data[a : last + window], data[first:a][::-1])
                         bucket = zlib.crc32(data[a : a + gram]) % buckets
@@ -203,10 +205,10 @@ def _send(window: int, gram: int, buckets: int):
                         count += not places
                         places.append((key_, a))
                     if count >= RUN_SUFFIXES:
-                        yield packed(held, single, schema)
-                        held, single, count = {}, {}, 0
+                        yield packed(held, hot, schema)
+                        held, hot, count = {}, {}, 0
             if count:
-                yield packed(held, single, schema)
+                yield packed(held, hot, schema)
 
     return run
 
@@ -287,10 +289,10 @@ def repeated_spans(
     buckets = bucket_count(runs, windows_per_bucket)
     sent = keep_table(
         texts.join(runs, "key").select("key", "text", "runs").mapInArrow(_send(window, gram, buckets), _SENT), "sent")
-    spans = sent.where("bucket IS NOT NULL").drop("digest").groupBy("bucket").applyInArrow(
+    cold = sent.where("bucket IS NOT NULL").drop("firsts", *(f.name for f in HOT_FIELDS))
+    spans = cold.groupBy("bucket").applyInArrow(
         _receive(window), f"key {tb.KEY_TYPE}, low bigint, high bigint")
-    hot = sent.where("bucket IS NULL").select("digest", "keys", F.col("anchor").alias("firsts"))
-    return spans_by_text(spans.unionByName(repeated_singly(hot, window)))
+    return spans_by_text(spans.unionByName(repeated_hot(sent, window)))
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
