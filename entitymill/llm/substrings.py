@@ -99,9 +99,9 @@ def _pack(window: int, gram: int, buckets: int):
             ends = pa.array(np.cumsum([0, *map(len, places)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in packed], pa.int32()), pa.array([x for _, x in packed], pa.binary()),
-                 pa.ListArray.from_arrays(ends, batch.column("key").take(rows)),
+                 pa.ListArray.from_arrays(ends, batch.column("key").take(rows).cast(key)),
                  pa.ListArray.from_arrays(ends, firsts),
-                 *(pa.nulls(len(packed), f.type) for f in HOT_FIELDS)], schema.names)
+                 *(pa.nulls(len(packed), f.type) for f in HOT_FIELDS)], schema=schema)
 
     return run
 

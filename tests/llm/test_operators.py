@@ -59,7 +59,7 @@ def same(frame, columns, wanted):
     assert got == sorted(wanted, key=repr)
 
 
-@pytest.mark.parametrize("hot", [1, 50_000])
+@pytest.mark.parametrize("hot", [1, 2, 4, 50_000])
 def test_substrings(docs, none, texts, hot):
     window, places = 35, defaultdict(list)
     rows = [(t or "").encode().split() for _, t in texts]
@@ -77,7 +77,7 @@ def test_substrings(docs, none, texts, hot):
     assert substrings.dedup_substrings(none).count() == 0
 
 
-@pytest.mark.parametrize("hot", [1, 50_000])
+@pytest.mark.parametrize("hot", [1, 2, 4, 50_000])
 def test_suffixes(docs, none, texts, hot):
     window, gram, places = 60, 12, defaultdict(list)
     rows = [(t or "").encode() for _, t in texts]
