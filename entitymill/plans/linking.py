@@ -38,7 +38,30 @@ DEALER_LICENCE = f"""{DK}, {RK}, lp AS (SELECT phone_key, min(row_no) AS license
     WHERE coalesce(lp.license_id, ld.license_id) IS NOT NULL)"""
 
 
-@query("j03_dealer_licence_fuzzy")
+def _name_blocks(rows: str, id_column: str, name: str) -> str:
+    """Rows of (id, block, name) of an SQL table, one for its city and one for its zip code."""
+    key = duck.company_key_upper(name)
+    return " UNION ".join(
+        f"SELECT {id_column} AS id, '{kind}:' || {place} AS block, {key} AS name FROM {rows} "
+        f"WHERE {place} IS NOT NULL AND {key} IS NOT NULL"
+        for kind, place in (("city", "upper(city)"), ("zip", "trim(zip)")))
+
+
+@query(
+    "j03_dealer_licence_fuzzy",
+    f"""WITH {DEALER_LICENCE}, rest AS (SELECT * FROM dk WHERE dealer_id NOT IN (SELECT dealer_id FROM dl)),
+        asked AS ({_name_blocks('rest', 'dealer_id', 'name')}),
+        held AS (SELECT block, name, min(id) AS license_id FROM ({_name_blocks('rk', 'row_no', 'business_name')}) GROUP BY ALL),
+        pairs AS (SELECT DISTINCT asked.name AS name_key, held.name AS first_key FROM asked JOIN held USING (block)
+            WHERE 200 * least(length(asked.name), length(held.name)) >= 85 * (length(asked.name) + length(held.name))),
+        near AS (SELECT name_key, first_key, ratio FROM (SELECT *, CAST(200 AS DOUBLE) * {duck.LCS}
+            / (length(name_key) + length(first_key)) AS ratio FROM pairs) WHERE ratio >= 85),
+        ranked AS (SELECT asked.id AS dealer_id, license_id, ratio,
+            row_number() OVER (PARTITION BY asked.id ORDER BY ratio DESC, license_id) AS place
+            FROM asked JOIN near ON name_key = asked.name JOIN held ON held.block = asked.block AND held.name = first_key)
+        SELECT dealer_id, license_id, match_method, CAST(match_confidence AS DOUBLE) AS match_confidence FROM dl
+        UNION ALL SELECT dealer_id, license_id, 'fuzzy_name', ratio FROM ranked WHERE place = 1""",
+)
 def j03(t):
     """Phone, else domain, else the most similar name in the same city or zip code."""
     dealers, held = cut_lineage(keyed_dealers(t)), cut_lineage(licences(t))

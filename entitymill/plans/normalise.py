@@ -109,21 +109,11 @@ def n20(t):
     )
 
 
-# One row of the dynamic programme per letter of first_key: the letter's matches in name_key come
-# in as a list of 0 and 1, and the row is the running maximum of what each match allows.
-LCS = """list_last(list_reduce(list_prepend(
-        list_transform(range(1, length(name_key) + 1), lambda i: 0),
-        list_transform(range(1, length(first_key) + 1), lambda k: list_transform(
-            range(1, length(name_key) + 1), lambda i: CAST(name_key[i] = first_key[k] AS INT)))),
-    lambda row, hit: list_transform(range(1, len(hit) + 1), lambda i: list_max(list_transform(
-        range(1, i + 1), lambda j: CASE WHEN hit[j] = 1 THEN coalesce(row[j - 1], 0) + 1 ELSE row[j] END)))))"""
-
-
 @query(
     "n21_indel_ratio",
     f"""WITH k AS (SELECT dealer_id, {duck.company_key('name')} AS name_key, {duck.root_domain('website')} AS domain FROM dealers),
         f AS (SELECT domain, first(name_key ORDER BY dealer_id) AS first_key FROM k WHERE domain IS NOT NULL GROUP BY domain)
-        SELECT dealer_id, coalesce(CAST(200 AS DOUBLE) * {LCS} / (length(name_key) + length(first_key)), 0) AS ratio
+        SELECT dealer_id, coalesce(CAST(200 AS DOUBLE) * {duck.LCS} / (length(name_key) + length(first_key)), 0) AS ratio
         FROM k JOIN f USING (domain)""",
 )
 def n21(t):
