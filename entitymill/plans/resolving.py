@@ -102,7 +102,31 @@ def leaders_by_name(rows):
     return cluster.keep_leaders(rows, name_members(rows), edges)
 
 
-@query("d05_fuzzy_leaders")
+# The rows of a state are walked in order; a row is dropped when not all that come before it and
+# resemble it have been dropped.
+LEADERS = f"""{PHASES}, named AS (SELECT dealer_id, upper(state) AS st, lower({duck.clean('name')}) AS nm FROM d),
+    n AS (SELECT * FROM named WHERE st IS NOT NULL AND nm IS NOT NULL),
+    u AS (SELECT DISTINCT st, nm FROM n),
+    pairs AS (SELECT a.st, a.nm AS name_key, b.nm AS first_key FROM u a JOIN u b ON a.st = b.st AND a.nm < b.nm
+        WHERE 200 * least(length(a.nm), length(b.nm)) >= 85 * (length(a.nm) + length(b.nm))),
+    near AS (SELECT * FROM pairs WHERE CAST(200 AS DOUBLE) * {duck.LCS} / (length(name_key) + length(first_key)) >= 85),
+    alike AS (SELECT st, nm, nm AS other FROM u UNION ALL SELECT st, name_key, first_key FROM near
+        UNION ALL SELECT st, first_key, name_key FROM near),
+    nodes AS (SELECT l.st, l.dealer_id AS later, list(e.dealer_id) AS before,
+            row_number() OVER (PARTITION BY l.st ORDER BY l.dealer_id) AS place
+        FROM n l JOIN alike ON alike.st = l.st AND alike.nm = l.nm
+            JOIN n e ON e.st = l.st AND e.nm = other AND e.dealer_id < l.dealer_id GROUP BY l.st, l.dealer_id),
+    walk AS (SELECT DISTINCT st, CAST(0 AS BIGINT) AS place, CAST([] AS BIGINT[]) AS dropped FROM nodes
+        UNION ALL SELECT walk.st, nodes.place, CASE WHEN list_has_all(walk.dropped, nodes.before) THEN walk.dropped
+            ELSE list_append(walk.dropped, nodes.later) END
+        FROM walk JOIN nodes ON nodes.st = walk.st AND nodes.place = walk.place + 1),
+    gone AS (SELECT unnest(dropped) AS dealer_id FROM (SELECT arg_max(dropped, place) AS dropped FROM walk GROUP BY st))"""
+
+
+@query(
+    "d05_fuzzy_leaders",
+    f"WITH RECURSIVE {LEADERS} SELECT dealer_id, name, state FROM d WHERE dealer_id NOT IN (SELECT dealer_id FROM gone)",
+)
 def d05(t):
     rows = keyed_dealers(t).select(
         "dealer_id", "name", "phone_key", "domain_key", "state",
