@@ -167,7 +167,35 @@ def multi_signal_leaders(rows):
     return decided.join(reasons, "pos", "left")
 
 
-@query("d06_multi_signal_leaders")
+# A ratio of matching blocks never exceeds the one of the longest common subsequence, which sorts
+# out most pairs. Then all rows are walked in order, as in LEADERS.
+SIGNALS = f"""{DK}, k AS (SELECT dealer_id, phone_key, domain_key, state AS st, {duck.company_key_anchored('name')} AS nm FROM dk),
+    u AS (SELECT DISTINCT st, nm FROM k WHERE st IS NOT NULL AND nm IS NOT NULL),
+    met AS (SELECT DISTINCT x.nm AS name_key, y.nm AS first_key FROM u x JOIN u y ON x.st = y.st AND x.nm <> y.nm
+        WHERE 200 * least(length(x.nm), length(y.nm)) >= 85 * (length(x.nm) + length(y.nm))),
+    {duck.distinct_pairs(f"SELECT name_key AS a, first_key AS b FROM met WHERE 200 * {duck.LCS} >= 85 * (length(name_key) + length(first_key))")},
+    {duck.BLOCK_RATIOS}, alike AS (SELECT a AS nm, b AS other FROM ratios WHERE ratio >= 0.85 UNION ALL SELECT DISTINCT nm, nm FROM u),
+    hits AS (
+        SELECT l.dealer_id AS later, e.dealer_id AS earlier, 1 AS rank, 'phone' AS reason FROM k l JOIN k e
+            ON e.phone_key = l.phone_key AND e.dealer_id < l.dealer_id
+        UNION ALL SELECT l.dealer_id, e.dealer_id, 2, 'domain' FROM k l JOIN k e
+            ON e.domain_key = l.domain_key AND e.dealer_id < l.dealer_id
+        UNION ALL SELECT l.dealer_id, e.dealer_id, 3, 'name' FROM k l JOIN alike ON alike.nm = l.nm
+            JOIN k e ON e.st = l.st AND e.nm = other AND e.dealer_id < l.dealer_id),
+    nodes AS (SELECT later, list(DISTINCT earlier) AS before, row_number() OVER (ORDER BY later) AS place FROM hits GROUP BY later),
+    walk AS (SELECT CAST(0 AS BIGINT) AS place, CAST([] AS BIGINT[]) AS dropped
+        UNION ALL SELECT nodes.place, CASE WHEN list_has_all(dropped, before) THEN dropped ELSE list_append(dropped, later) END
+        FROM walk JOIN nodes ON nodes.place = walk.place + 1),
+    gone AS (SELECT unnest(dropped) AS dealer_id FROM (SELECT arg_max(dropped, place) AS dropped FROM walk)),
+    why AS (SELECT later AS dealer_id, min({{'rank': rank, 'reason': reason, 'at': earlier}}) AS best FROM hits
+        WHERE later IN (SELECT dealer_id FROM gone) AND earlier NOT IN (SELECT dealer_id FROM gone) GROUP BY later)"""
+
+
+@query(
+    "d06_multi_signal_leaders",
+    f"""WITH RECURSIVE {SIGNALS} SELECT dealer_id, best IS NULL AS kept, best.reason AS reason, best.at AS kept_pos
+        FROM k LEFT JOIN why USING (dealer_id)""",
+)
 def d06(t):
     rows = cut_lineage(
         keyed_dealers(t).select(
