@@ -108,12 +108,15 @@ def brand_overlap(
 ) -> DataFrame:
     """One row per business: base columns of its first record, its brands, its merged flags.
 
-    `brands` is an array column; the set of brand names is a small vocabulary.
+    `brands` is an array column; the set of brand names is a small vocabulary, so what a business
+    gathers is bounded by it, not by the combinations of brands that its records have.
     """
     _need_order(df, order)
-    keyed = df.withColumn("entity_key", contact_key(phone, domain)).where("entity_key IS NOT NULL")
+    # a record counts once for each of its brands; first and flags do not mind
+    keyed = df.withColumn("entity_key", contact_key(phone, domain)).where("entity_key IS NOT NULL").withColumn(
+        "_brand", F.explode_outer(brands))
     first = F.min_by(F.struct(*base), F.col(order))
-    found = F.array_sort(F.array_distinct(F.flatten(F.collect_set(brands))))
+    found = F.array_sort(F.collect_set("_brand"))
     merged = [F.bool_or(F.coalesce(F.col(f), F.lit(False))).alias(f) for f in flags or []]
     return (
         keyed.groupBy("entity_key")
