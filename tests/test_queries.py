@@ -7,9 +7,6 @@ from entitymill.plans.catalogue import ORACLES, QUERIES
 from entitymill.plans.registry import RAW
 from tools.check import compare
 
-# run in the full check only: they take long and are covered by the brute-force tests
-SLOW = {"d07_upsert", "j01_priority_match", "j02_match_without_email", "x09_audited_upsert"}
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -20,7 +17,7 @@ def con(sf_dir):
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf_dir, name):
     message, _, good = compare(spark, con, name, sf_dir)
     # a result without rows is fine where the SQL has none either
