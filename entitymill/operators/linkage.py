@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import company_key
-from ..functions.similarity import block_ratio, indel_ratio
+from ..functions.similarity import block_ratio
 from ..session import cut_lineage
-from .pairs import candidate_pairs
+from .nametiles import first_similar, most_similar
+from .pairs import candidate_pairs  # noqa: F401
 from .skew import lookup_join
 
 FUZZY_THRESHOLD = 0.85
@@ -63,30 +64,20 @@ def match_by_keys(records: DataFrame, record_id: str, signals: dict[str, str], i
     return best_hit(keyed_hits(records, record_id, signals, index), record_id)
 
 
-def fuzzy_first(
-    records: DataFrame, entities: DataFrame, ratio: Column, threshold: float, scale: float = 1.0
-) -> DataFrame:
+def _owners(entities: DataFrame) -> DataFrame:
+    return entities.groupBy("block", "name").agg(F.min("entity_id").alias("at"))
+
+
+def fuzzy_first(records: DataFrame, entities: DataFrame, kind: str, threshold: float) -> DataFrame:
     """record_id -> the least entity of the block whose name is similar enough.
 
     Both inputs hold block and name (records: record_id; entities: entity_id). Distinct names
-    are compared once. `ratio` is over new_name and known_name.
+    are compared once, and only until the first similar one. `kind` names the ratio: block or indel.
     """
     records, entities = cut_lineage(records), cut_lineage(entities)
-    pairs = (
-        candidate_pairs(records, entities, threshold)
-        .withColumn("ratio", ratio)
-        .where(F.col("ratio") >= threshold * scale)
-    )
-    owners = entities.groupBy("block", F.col("name").alias("known_name")).agg(
-        F.min("entity_id").alias("entity_id")
-    )
-    reached = (
-        pairs.join(owners, ["block", "known_name"])
-        .groupBy("block", F.col("new_name").alias("name"))
-        .agg(F.min(F.struct("entity_id", "ratio")).alias("b"))
-    )
+    reached = first_similar(records.select("block", "name").distinct(), _owners(entities), threshold, kind)
     return records.join(reached, ["block", "name"]).select(
-        "record_id", F.col("b.entity_id").alias("entity_id"), F.col("b.ratio").alias("ratio")
+        "record_id", F.col("at").alias("entity_id"), "ratio"
     )
 
 
@@ -96,24 +87,12 @@ def fuzzy_best(records: DataFrame, entities: DataFrame, threshold: float) -> Dat
     Records and entities may come in several blocks each.
     """
     records, entities = cut_lineage(records), cut_lineage(entities)
-    pairs = (
-        candidate_pairs(records, entities, threshold)
-        .withColumn("ratio", indel_ratio(F.col("new_name"), F.col("known_name")))
-        .where(F.col("ratio") >= threshold * 100.0)
-    )
-    owners = entities.groupBy("block", F.col("name").alias("known_name")).agg(
-        F.min("entity_id").alias("entity_id")
-    )
-    best = F.max(F.struct("ratio", (-F.col("entity_id")).alias("neg_id")))
-    reached = (
-        pairs.join(owners, ["block", "known_name"])
-        .groupBy("block", F.col("new_name").alias("name"))
-        .agg(best.alias("b"))
-    )
+    reached = most_similar(records.select("block", "name").distinct(), _owners(entities), threshold)
+    best = F.max(F.struct("ratio", (-F.col("at")).alias("neg_id")))
     return (
         records.join(reached, ["block", "name"])
         .groupBy("record_id")
-        .agg(F.max("b").alias("b"))
+        .agg(best.alias("b"))
         .select("record_id", (-F.col("b.neg_id")).alias("entity_id"), F.col("b.ratio").alias("ratio"))
     )
 
@@ -159,7 +138,7 @@ def match_records(
     rest = records.join(keyed.select("record_id"), "record_id", "left_anti")
     fuzzy = fuzzy_first(
         in_block(rest, "record_id", block), in_block(entities, "entity_id", block),
-        block_ratio(F.col("new_name"), F.col("known_name")), FUZZY_THRESHOLD,
+        "block", FUZZY_THRESHOLD,
     ).select(
         "record_id", "entity_id", F.lit("fuzzy_name").alias("match_type"),
         F.format_string("%.2f", "ratio").alias("match_value"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import domains, fixed_values as fixed, names, text
-from ..functions.similarity import block_ratio
 from ..operators import enrich, inserts, linkage
 from ..session import cut_lineage
 from . import duck
@@ -279,7 +278,7 @@ def ranking_links(t):
     fuzzy = linkage.fuzzy_first(
         _in_state(rest, "ranking_id", "record_id", "headquarters_state"),
         _in_state(entities, "entity_id", "entity_id", "state"),
-        block_ratio(F.col("new_name"), F.col("known_name")), linkage.FUZZY_THRESHOLD,
+        "block", linkage.FUZZY_THRESHOLD,
     )
     found = fuzzy.select(
         F.col("record_id").alias("ranking_id"), F.col("entity_id").alias("fuzzy_id")
@@ -353,7 +352,7 @@ def matched_donors(donors, owners, *carry):
     known = owners.select("entity_id", "block", "name")
     fuzzy = linkage.fuzzy_first(
         rest.select("record_id", "block", "name"), known,
-        block_ratio(F.col("new_name"), F.col("known_name")), MAIL_FILL_THRESHOLD,
+        "block", MAIL_FILL_THRESHOLD,
     ).join(rest.select("record_id", *carry), "record_id").withColumn("confidence", F.lit(75))
     columns = ["record_id", "entity_id", *carry, "confidence"]
     return exact.select(*columns).unionByName(fuzzy.select(*columns))
