@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names, phones, text
 from ..functions.domains import email_domain, email_key
-from ..functions.similarity import block_ratio, indel_ratio
-from ..operators import cluster, growing, keyed, numbering, pairs, upsert as upserting
+from ..operators import cluster, growing, keyed, leaders, numbering, pairs, upsert as upserting
 from ..operators.linkage import FUZZY_THRESHOLD
 from ..session import cut_lineage
 from . import duck
@@ -94,12 +93,15 @@ def name_members(rows):
     )
 
 
+def edge_keys(similar):
+    """Edges (key, other_key) of pairs (block, name, other)."""
+    return similar.select(
+        *[F.concat_ws("|", F.lit("name:"), "block", c).alias(key) for c, key in (("name", "key"), ("other", "other_key"))])
+
+
 def leaders_by_name(rows):
     """Phase three: of the rows (pos, state, fuzzy_name), those no earlier kept name resembles."""
-    edges = fuzzy_name_edges(
-        rows, indel_ratio(F.col("new_name"), F.col("known_name")), FUZZY_THRESHOLD * 100
-    )
-    return cluster.keep_leaders(rows, name_members(rows), edges)
+    return leaders.banded_leaders(rows, name_members(rows), edge_keys, FUZZY_THRESHOLD, "indel")
 
 
 # The rows of a state are walked in order; a row is dropped when not all that come before it and
@@ -156,14 +158,11 @@ REASON_RANKS = {"phone": 1, "domain": 2, "name": 3}
 
 
 def multi_signal_leaders(rows):
-    edges = cut_lineage(
-        fuzzy_name_edges(
-            rows, block_ratio(F.col("new_name"), F.col("known_name")), FUZZY_THRESHOLD
-        )
-    )
     members = cut_lineage(multi_signal_members(rows))
-    decided = cluster.keep_leaders(rows, members, edges)
-    reasons = cluster.drop_reasons(decided, members, edges, REASON_RANKS)
+    decided = cut_lineage(leaders.banded_leaders(rows, members, edge_keys, FUZZY_THRESHOLD, "block"))
+    first = leaders.first_edges(rows, decided, FUZZY_THRESHOLD, "block")
+    edges = edge_keys(first.where("name <> other"))
+    reasons = cluster.drop_reasons(decided, members, cut_lineage(edges), REASON_RANKS)
     return decided.join(reasons, "pos", "left")
 
 
