@@ -19,7 +19,7 @@ from .linkage import (
     in_block,
     match_records,
 )
-from .pairs import candidate_pairs
+from .nametiles import similar_links
 from .skew import lookup_join
 
 MERGED_CONFIDENCE = 70
@@ -35,7 +35,7 @@ class Upsert:
 
 
 def batch_links(records: DataFrame) -> DataFrame:
-    """Links between batch rows: equal phone or e-mail, similar names, first of the domain.
+    """Links that connect batch rows: equal phone or e-mail, similar names, first of the domain.
 
     Merged rows hand their phone and e-mail to the entity, so these links are transitive.
     """
@@ -52,18 +52,8 @@ def batch_links(records: DataFrame) -> DataFrame:
         ).alias("key"),
     )
     exact = key_links(members)
-    blocked = cut_lineage(in_block(records, "record_id"))
-    owners = blocked.groupBy("block", "name").agg(F.min("record_id").alias("owner"))
-    # the later name is compared with the earlier one, as in a sequential load
-    similar = (
-        candidate_pairs(blocked, blocked, FUZZY_THRESHOLD)
-        .where("new_name <> known_name")
-        .join(owners.toDF("block", "new_name", "u"), ["block", "new_name"])
-        .join(owners.toDF("block", "known_name", "v"), ["block", "known_name"])
-        .where("u > v")
-        .where(block_ratio(F.col("new_name"), F.col("known_name")) >= FUZZY_THRESHOLD)
-        .select("u", "v")
-    )
+    blocked = in_block(records, "record_id")
+    named = blocked.groupBy("block", "name").agg(F.min("record_id").alias("at"))
     first = (
         records.where("domain IS NOT NULL")
         .groupBy("domain")
@@ -74,9 +64,9 @@ def batch_links(records: DataFrame) -> DataFrame:
         (F.col("record_id") > F.col("hub"))
         & (block_ratio(company_key("name_key"), F.col("hub_key")) >= DOMAIN_NAME_THRESHOLD)
     )
-    return exact.unionAll(similar).unionAll(
-        near.select(F.col("record_id").alias("u"), F.col("hub").alias("v"))
-    )
+    known = cut_lineage(exact.unionAll(near.select(F.col("record_id").alias("u"), F.col("hub").alias("v"))))
+    # the later name is compared with the earlier one, as in a sequential load
+    return known.unionAll(similar_links(named, known, FUZZY_THRESHOLD, "block"))
 
 
 def upsert(records: DataFrame, entities: DataFrame, contacts: DataFrame, licences: DataFrame) -> Upsert:
