@@ -40,6 +40,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One row of each group of near copies (five-word shingles, similarity of 0.8 or more): the one
     with the smallest doc_id, null last, then the smallest hash of its text.
 
+    SimHash fingerprints within three bits find most of them, bands of minima the rest; all are compared exactly.
+
     Unlike texts without a doc_id, or with the same one, are rows of their own.
     """
     rows = docs.select(*COLUMNS)

@@ -5,12 +5,15 @@ Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; a text's shingles are t
 a Jaccard similarity of `SIMILAR_OF` / `SIMILAR_PARTS` = 0.8 or more. Groups are what such pairs
 connect.
 
-Candidates meet on bands of `ROWS` minima of the shingles' hashes (a fingerprint of 64 SimHash bits
-cannot select them: at 0.8 two differ in ten bits on average, in up to eighteen). Of two texts at
+Candidates come from SimHash first: fingerprints of the same shingles (`simhash`), linked at three or fewer
+differing bits by their Golay keys, find the nearest copies. At a similarity of 0.8 two fingerprints differ in
+ten bits on average, in up to eighteen, so candidates also meet on bands of `ROWS` minima of the shingles'
+hashes. Both kinds are compared exactly. Of two texts at
 0.8 one pair in eight million shares none of the `BANDS` bands, at 0.85 one in 10^10; this is the
 only approximation. Shingle equality is that of 64-bit hashes, set equality likewise.
 
-Comparison: equal sets are one class first. In each band the member that meets most others is
+Comparison: equal sets are one class first. Classes of one fingerprint are compared with the least of them,
+and the least ones of linked fingerprints with each other. In each band the member that meets most others is
 compared with all; then, wherever a band still holds members of different groups, its members' sets
 go to one task, or to tiles of two chunks each if they are many, and are compared in arrays across the
 groups. Only links that connect something leave the task, never pairs. So every candidate pair is
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cluster import connected_components
 from ..session import keep_table
+from . import simhash
 from . import textbytes as tb
 
 SHINGLE = 5
@@ -87,10 +91,12 @@ def _sketch(shingle: int):
                         bands[i] = keys
                 ids = [int(tb.mix(np.bitwise_xor.reduce(tb.mix(s), keepdims=True) + np.add.reduce(s))[0]) if len(s)
                        else 0 for s in sets]
+                texts = batch.column("text").slice(low, high - low).to_pylist()
+                prints = np.fromiter((simhash.fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").slice(low, high - low), pa.array(np.array(ids, np.uint64).view(np.int64)),
-                     pa.array([len(s) for s in sets], pa.int64()), pa.array(bands, kind)],
-                    ["key", "id", "n", "bands"])
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array(bands, kind), pa.array(prints.view(np.int64))],
+                    ["key", "id", "n", "bands", "fp"])
 
     return run
 
@@ -125,6 +131,16 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one.hint("merge"), "u").join(two.hint("merge"), "v").where(alike).select("u", "v")
 
 
+def _simhash_pairs(classes: DataFrame) -> DataFrame:
+    """(u, v): classes (id, n, fp) of the same or of linked fingerprints, at most one pair per class and link."""
+    least = keep_table(classes.where("n > 0").groupBy("fp").agg(F.min(F.struct("id", "n")).alias("r")), "fingerprints")
+    same = classes.join(least, "fp").select(F.col("id").alias("u"), "n", F.col("r.id").alias("v"), F.col("r.n").alias("m"))
+    one, two = (least.select(F.col("fp").alias(c), F.col("r.id").alias(x), F.col("r.n").alias(size))
+                for c, x, size in (("a", "u", "n"), ("b", "v", "m")))
+    linked = simhash.fingerprint_links(least.select("fp")).join(one, "a").join(two, "b").select("u", "n", "v", "m")
+    return same.where("u <> v").unionAll(linked).where(_fits("n", "m")).select("u", "v")
+
+
 def _tiles(placed: DataFrame, mixed: DataFrame) -> DataFrame:
     """(band, one, two, chunk, id, component): the members of a band in tiles of two chunks each.
 
@@ -200,15 +216,18 @@ def first_rows(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(key): of each group of near copies the first row's key."""
     texts = tb.keyed_texts(docs)
     sketch = keep_table(texts.mapInArrow(
-        _sketch(shingle), f"key {tb.KEY_TYPE}, id bigint, n bigint, bands array<bigint>"), "sketches")
+        _sketch(shingle), f"key {tb.KEY_TYPE}, id bigint, n bigint, bands array<bigint>, fp bigint"), "sketches")
     classes = keep_table(sketch.groupBy("id").agg(
-        F.min(order()).alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")), "near-classes")
+        F.min(order()).alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("fp").alias("fp")),
+        "near-classes")
+    alike = keep_table(_simhash_pairs(classes), "simhash-pairs")
     banded = keep_table(classes.select("id", "n", F.explode("bands").alias("band")), "bands")
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     met = keep_table(banded.join(shared, "band"), "met")
     # texts are looked at again only where they meet another
     busy = keep_table(met.groupBy("id").agg(F.sum("members").alias("degree")), "busy")
-    wanted = classes.join(busy, "id").select("id", F.col("least.key").alias("key"))
+    looked_at = busy.select("id").unionAll(alike.select("u")).unionAll(alike.select("v")).distinct()
+    wanted = classes.join(looked_at, "id").select("id", F.col("least.key").alias("key"))
     sets = keep_table(
         texts.join(wanted.hint("merge"), "key").select("id", "text")
         .mapInArrow(_sets(shingle), "id bigint, shingles array<bigint>").dropDuplicates(["id"]), "shingle-sets")
@@ -218,7 +237,7 @@ def first_rows(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     stars = met.join(hubs.select("band", F.col("hub.id").alias("v"), F.col("hub.n").alias("m")), "band")
     stars = keep_table(stars.where(F.col("id") != F.col("v")).where(_fits("n", "m")).select(
         F.col("id").alias("u"), "v").distinct(), "stars")
-    links = keep_table(_similar(stars, sets), "star-links")
+    links = keep_table(_similar(stars.unionAll(alike).distinct(), sets), "star-links")
     groups = keep_table(connected_components(nodes, links), "star-groups")
 
     # bands that hold several groups: their members are compared across groups, bands of the same members once

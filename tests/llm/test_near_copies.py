@@ -111,3 +111,16 @@ def test_clashing_columns_and_very_long_texts(spark):
     rows = [(1, long, "id"), (2, long + " more words at the end", "id"), (3, "short text", "id")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, id string").withColumn("band", F.lit(1)).withColumn("key", F.lit(2))
     assert sorted(r.key.doc_id for r in nearcopies.first_rows(docs).collect()) == [1, 3]
+
+
+def test_simhash_pairs_are_the_nearest_copies(spark):
+    rng = random.Random(12)
+    words = [[f"w{rng.randrange(5000)}" for _ in range(1000)] for _ in range(4)]
+    texts = {i: " ".join(w) for i, w in enumerate(words)} | {9: " ".join(words[0] + ["end"]), 10: " ".join(words[1] * 2)}
+    prints = {i: nearcopies.simhash.fingerprint(t, nearcopies.SHINGLE) for i, t in texts.items()}
+    rows = [(i, 900, int(np.uint64(p).astype(np.int64))) for i, p in prints.items()] + [(11, 900, int(np.uint64(prints[2]).astype(np.int64)))]
+    got = nearcopies._simhash_pairs(spark.createDataFrame(rows, "id long, n long, fp long")).collect()
+    fp = {r[0]: r[2] for r in rows}
+    want = sorted(sorted(p) for p in itertools.combinations(fp, 2)
+                  if ((fp[p[0]] ^ fp[p[1]]) & (1 << 64) - 1).bit_count() <= 3)
+    assert sorted(sorted(r) for r in got) == want and [0, 9] in want and [2, 11] in want
