@@ -35,8 +35,7 @@ from pyspark.sql import functions as F
 from ..session import keep_table
 from . import textbytes as tb
 from .repeats import (
-    HOT_FIELDS, HOT_TYPE, HotRuns, bucket_count, digest, hot_rows_of, repeated_hot, repeated_runs, spans_by_text,
-    spans_of_places,
+    HOT_FIELDS, HOT_TYPE, batch_numbers, bucket_count, digest, repeated_hot, repeated_runs, spans_by_text, spans_of_places,
 )
 
 WINDOW = 35
@@ -65,32 +64,23 @@ def _scan(window: int, gram: int):
 def _pack(window: int, gram: int, buckets: int):
     """Super-k-mers of the repeated runs; equal ones of a batch as one row with their places.
 
-    Hot runs give digests instead, without a bucket.
+    Hot runs go without a bucket, each with its digest.
     """
     key = pa.struct([("doc_id", pa.int64()), ("tie", pa.int64())])
-    schema = pa.schema([("bucket", pa.int32()), ("packed", pa.binary()), ("keys", pa.list_(key)),
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.list_(key)),
                         ("firsts", pa.list_(pa.int32())), *HOT_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
-            hot: HotRuns = {}
+        for number, batch in zip(batch_numbers(), batches, strict=False):
+            packed: dict[tuple[int | None, bytes], list[tuple[int, int]]] = {}
             texts, runs = batch.column("text"), batch.column("runs")
             for row in range(len(batch)):
                 words = texts[row].as_py().encode().split()
                 for r in runs[row].as_py():
-                    if r["hot"]:
-                        one = digest(b" ".join(words[r["first"] : r["last"] + window]))
-                        if one not in hot:
-                            hot[one] = [], [digest(b" ".join(words[s : s + window]))
-                                            for s in range(r["first"], r["last"] + 1)]
-                        hot[one][0].append((batch.column("key")[row].as_py(), r["first"]))
-                    else:
-                        mark = b" ".join(words[r["anchor"] : r["anchor"] + gram])
-                        one = b" ".join(words[r["first"] : r["last"] + window])
-                        packed.setdefault((zlib.crc32(mark) % buckets, one), []).append((row, r["first"]))
-            if hot:
-                yield pa.RecordBatch.from_pylist(list(hot_rows_of(hot)), schema)
+                    mark = b" ".join(words[r["anchor"] : r["anchor"] + gram])
+                    one = b" ".join(words[r["first"] : r["last"] + window])
+                    bucket = None if r["hot"] else zlib.crc32(mark) % buckets
+                    packed.setdefault((bucket, one), []).append((row, r["first"]))
             if not packed:
                 continue
             places = list(packed.values())
@@ -98,14 +88,21 @@ def _pack(window: int, gram: int, buckets: int):
             firsts = pa.array([s for p in places for _, s in p], pa.int32())
             ends = pa.array(np.cumsum([0, *map(len, places)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in packed], pa.int32()), pa.array([x for _, x in packed], pa.binary()),
+                [pa.array([b for b, _ in packed], pa.int32()),
                  pa.ListArray.from_arrays(ends, batch.column("key").take(rows).cast(key)),
                  pa.ListArray.from_arrays(ends, firsts),
-                 *(pa.nulls(len(packed), f.type) for f in HOT_FIELDS)], schema=schema)
+                 pa.array([digest(x) if b is None else None for b, x in packed], pa.binary()),
+                 pa.array([number] * len(packed), pa.int64()), pa.array([x for _, x in packed], pa.binary())],
+                schema=schema)
 
     return run
 
 
+def windows_of(packed: bytes, window: int) -> list[bytes]:
+    cuts = [-1, *(i for i, c in enumerate(packed) if c == 32), len(packed)]
+    return [packed[cuts[i] + 1 : cuts[i + window]] for i in range(len(cuts) - window)]
+
+
 def repeated_windows(packed: list[bytes], copies: np.ndarray, window: int) -> list[np.ndarray]:
     """For each packed string the flags of its windows that occur more than once.
 
@@ -114,10 +111,9 @@ def repeated_windows(packed: list[bytes], copies: np.ndarray, window: int) -> li
     windows: list[bytes] = []
     counts = []
     for text in packed:
-        cuts = [-1, *(i for i, c in enumerate(text) if c == 32), len(text)]
-        n = len(cuts) - window
-        windows += [text[cuts[i] + 1 : cuts[i + window]] for i in range(n)]
-        counts.append(n)
+        found = windows_of(text, window)
+        windows += found
+        counts.append(len(found))
     again = np.repeat(copies > 1, counts)
     order = sorted(range(len(windows)), key=windows.__getitem__)
     same = np.fromiter((windows[a] == windows[b] for a, b in pairwise(order)), bool, max(len(order) - 1, 0))
@@ -134,7 +130,7 @@ def _count(window: int):
         table = table.combine_chunks()
         # the same string may come from many tasks
         seen: dict[bytes, list[int]] = {}
-        for i, text in enumerate(table.column("packed").to_pylist()):
+        for i, text in enumerate(table.column("content").to_pylist()):
             seen.setdefault(text, []).append(i)
         keys, firsts = table.column("keys").combine_chunks(), table.column("firsts").combine_chunks()
         ends = firsts.offsets.to_numpy()
@@ -166,11 +162,11 @@ def repeated_spans(
     buckets = bucket_count(runs, windows_per_bucket)
     packed = keep_table(texts.join(runs, "key").select("key", "text", "runs").mapInArrow(
         _pack(window, gram, buckets),
-        f"bucket int, packed binary, keys array<{tb.KEY_TYPE}>, firsts array<int>, {HOT_TYPE}"), "packed")
-    cold = packed.where("bucket IS NOT NULL").select("bucket", "packed", "keys", "firsts")
+        f"bucket int, keys array<{tb.KEY_TYPE}>, firsts array<int>, {HOT_TYPE}"), "packed")
+    cold = packed.where("bucket IS NOT NULL").select("bucket", "content", "keys", "firsts")
     spans = cold.groupBy("bucket").applyInArrow(
         _count(window), f"key {tb.KEY_TYPE}, low bigint, high bigint")
-    return spans_by_text(spans.unionByName(repeated_hot(packed, window)))
+    return spans_by_text(spans.unionByName(repeated_hot(packed, lambda c: windows_of(c, window), window)))
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
