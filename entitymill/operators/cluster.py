@@ -120,15 +120,47 @@ def key_links(members: DataFrame) -> DataFrame:
 
 
 def connected_components(nodes: DataFrame, links: DataFrame, finish_links: int = FINISH_LINKS) -> DataFrame:
-    """(id, component) with the least id of the component, by large-star / small-star rounds.
+    """(id, component) with the least id of the component."""
+    roots = moved_nodes(links, finish_links).select(F.col("u").alias("id"), F.col("v").alias("component"))
+    return nodes.select("id").join(roots, "id", "left").select(
+        "id", F.coalesce("component", "id").alias("component")
+    )
+
+
+def moved_nodes(links: DataFrame, finish_links: int = FINISH_LINKS) -> DataFrame:
+    """(u, v): every linked node but the least of its component, and that least one.
 
+    Every round puts the least neighbour in the place of a node, so that only links between
+    different nodes stay; rounds that shrink the links little give way to large-star / small-star ones.
     Once there are at most `finish_links` links, one task joins up what they connect.
     """
-    pairs = keep_table(
-        links.select(F.greatest("u", "v").cast("long").alias("u"), F.least("u", "v").cast("long").alias("v"))
-        .where("u <> v")
-        .distinct(), "links"
-    )
+    pairs = _different(links.select(F.col("u").cast("long"), F.col("v").cast("long")))
+    steps, before, n = [], None, pairs.count()
+    while n > finish_links and (before is None or 4 * n < 3 * before):
+        both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # written, so that the joins read bare shuffles and can split a hot node
+        step = keep_table(
+            both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("place")), "places")
+        steps.append(step)
+        half = pairs.join(step, "u").select(F.col("place").alias("u"), "v")
+        other = step.select(F.col("u").alias("v"), F.col("place").alias("other"))
+        pairs = _different(half.join(other, "v").select("u", F.col("other").alias("v")))
+        before, n = n, pairs.count()
+    found = _star_rounds(pairs, finish_links)
+    for step in reversed(steps):
+        found = keep_table(
+            step.join(found.toDF("place", "least"), "place", "left")
+            .select("u", F.coalesce("least", "place").alias("v")).where("u <> v"), "moved")
+    return found
+
+
+def _different(links: DataFrame) -> DataFrame:
+    return keep_table(
+        links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
+
+
+def _star_rounds(pairs: DataFrame, finish_links: int) -> DataFrame:
+    """Links (u > v, written) to (node, least node of its component), by large-star / small-star rounds."""
     before = None
     while True:  # links only move to smaller nodes, so this ends
         state = pairs.agg(
@@ -136,12 +168,9 @@ def connected_components(nodes: DataFrame, links: DataFrame, finish_links: int =
             F.bit_xor(F.xxhash64("u", "v")).alias("h"),
         ).first()
         if state.n <= finish_links:
-            pairs = keep_table(pairs.repartition(1).mapInArrow(_join_up, "u bigint, v bigint"), "stars")
-        if state.n <= finish_links or state == before:
-            roots = pairs.select(F.col("u").alias("id"), F.col("v").alias("component"))
-            return nodes.select("id").join(roots, "id", "left").select(
-                "id", F.coalesce("component", "id").alias("component")
-            )
+            return keep_table(pairs.repartition(1).mapInArrow(_join_up, "u bigint, v bigint"), "stars")
+        if state == before:
+            return pairs
         before = state
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import block_ratio
 from ..session import keep_table
-from .cluster import connected_components, key_links
+from .cluster import connected_components, key_links, moved_nodes
 from .skew import lookup_join
 
 NAME_FLOOR = 0.5
@@ -42,26 +42,37 @@ def growing_components(rows: DataFrame, strong: DataFrame, weak: DataFrame, floo
     first row, whose name also is the entity's name.
 
     A round compares each (weak key, name, entity) once with one name. Every round that finds a link
-    merges two entities at least, so this ends; links are replaced by one star per entity in between.
+    merges two entities at least, so this ends. The first round joins up rows, the later ones only the
+    entities that the links name; an entity's rows with one weak key and one name are one row of `held`.
     """
-    rows = keep_table(rows.select("id", "name"), "growing-rows")
-    weak = keep_table(weak.select("id", "key", "first_only").join(rows, "id"), "growing-weak")
-    links = key_links(keep_table(strong.select("id", "key").distinct(), "growing-strong"))
+    rows = rows.select("id", "name")
+    found = keep_table(
+        connected_components(rows, key_links(keep_table(strong.select("id", "key").distinct(), "growing-strong"))),
+        "growing-found")
+    # always: some row holds the key whatever comes first; first: the entity's first row does
+    held = keep_table(
+        weak.select("id", "key", "first_only").join(rows.join(found, "id"), "id").groupBy("key", "name", "component")
+        .agg(F.max(~F.col("first_only")).alias("always"), F.max(F.col("id") == F.col("component")).alias("first")),
+        "growing-held")
+    first_names = keep_table(
+        rows.join(held.select(F.col("component").alias("id")).distinct(), "id").toDF("hub", "hub_name"), "growing-names")
     while True:
-        found = keep_table(connected_components(rows, links), "growing-found")
-        held = keep_table(weak.join(found, "id"), "growing-held")
-        first_names = rows.withColumnRenamed("id", "hub").withColumnRenamed("name", "hub_name")
-        hubs = (
-            held.where("NOT first_only OR id = component").groupBy("key").agg(F.min("component").alias("hub"))
-            .join(first_names, "hub"))
-        asked = held.where("name IS NOT NULL").groupBy("key", "name", "component").agg(F.min("id").alias("u"))
+        hubs = held.where("always OR first").groupBy("key").agg(F.min("component").alias("hub")).join(first_names, "hub")
         near = keep_table(
-            lookup_join(asked, hubs, "key", "u").where("component <> hub")
-            .where(block_ratio(F.col("name"), F.col("hub_name")) >= floor)
-            .select("u", F.col("hub").alias("v")), "growing-near")
+            lookup_join(held.where("name IS NOT NULL").select("key", "name", "component"), hubs, "key", "component")
+            .where("component <> hub").where(block_ratio(F.col("name"), F.col("hub_name")) >= floor)
+            .select(F.col("component").alias("u"), F.col("hub").alias("v")).distinct(), "growing-near")
         if near.isEmpty():
             return found
-        links = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v")).unionAll(near)
+        moved = moved_nodes(near).toDF("component", "least")
+        found = keep_table(
+            found.join(moved, "component", "left").select("id", F.coalesce("least", "component").alias("component")),
+            "growing-found")
+        held = keep_table(
+            held.join(moved, "component", "left")
+            .groupBy("key", "name", F.coalesce("least", "component").alias("component"))
+            .agg(F.max("always").alias("always"), F.max(F.col("first") & F.col("least").isNull()).alias("first")),
+            "growing-held")
 
 
 @dataclass

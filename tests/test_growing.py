@@ -7,7 +7,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from entitymill.operators import growing
+from entitymill.operators import cluster, growing
 
 
 def plain_components(rows, strong, weak, floor=0.5):
@@ -107,3 +107,48 @@ def test_merged_sets_and_the_first_row(spark):
     assert sorted(map(tuple, done.entities.collect())) == [(1, 3, "A", 7, 2, 2), (4, 1, "D", None, 0, 0)]
     assert sorted(map(tuple, done.values.collect())) == [
         (1, "kinds", "x", 1), (1, "kinds", "y", 2), (1, "phones", "p1", 1), (1, "phones", "p2", 1)]
+
+
+def test_links_shrink_with_every_round(spark, monkeypatch):
+    """Entities, not rows, are joined up again after the first round, and links between one entity's rows go."""
+    written = []
+    keep = cluster.keep_table
+
+    def counted(df, name):
+        table = keep(df, name)
+        written.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(cluster, "keep_table", counted)
+    # 40 businesses of 50 rows under three keys each, in a chain of weak links
+    rows = spark.range(2000).selectExpr("id", "concat('ashford electric ', id div 50) AS name")
+    strong = rows.selectExpr("id", "explode(array(concat('a', id div 50), concat('b', id div 25), concat('c', id div 10))) AS key")
+    weak = rows.selectExpr("id", "explode(array(concat('w', id div 50), concat('w', id div 50 + 1))) AS key", "false AS first_only")
+    found = growing.growing_components(rows, strong, weak)
+    assert [r.component for r in found.select("component").distinct().collect()] == [0]
+    links = [n for name, n in written if name == "links"]
+    assert links[0] > 1900 and all(n <= 80 for n in links[1:]), written
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_contracted_links_give_the_least_node(spark, seed):
+    rng = random.Random(seed)
+    ids = [rng.randrange(10**12) for _ in range(300)]
+    pairs = [(a, b) for a, b in zip(ids, ids[1:]) if rng.random() < 0.7]  # chains
+    pairs += [(ids[7], i) for i in rng.sample(ids, 40)] + [(i, i) for i in ids[:3]]
+    pairs += [(rng.choice(ids), rng.choice(ids)) for _ in range(15)]
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    nodes = spark.createDataFrame([(i,) for i in ids], "id long")
+    links = spark.createDataFrame(pairs, "u long, v long")
+    for most in (0, 20):
+        got = cluster.connected_components(nodes, links, finish_links=most).collect()
+        assert {r.id: r.component for r in got} == {i: find(i) for i in ids}
