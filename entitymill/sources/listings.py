@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import PARTNER_LICENCE_TOKENS
-from ..functions.text import as_col, clean, squeeze, strip, words_found
+from ..functions.text import as_col, clean, strip, words_found
 
 # Header words that the page glues to its kW cells, and tier badges.
 KW_HEADERS = [
@@ -65,10 +65,12 @@ def serves_both_markets(markets) -> Column:
 def page_record(pages: DataFrame) -> DataFrame:
     """Dealer fields of a saved page, read from its whole text."""
     body = F.regexp_replace("html", r"(?s)<(script|style)\b.*?</(script|style)>", " ")
-    text = squeeze(F.regexp_replace(body, r"<[^>]*>", " "))
+    text = F.trim(F.regexp_replace(F.regexp_replace(body, r"<[^>]*+>", " "), r"\s+", " "))
     host = F.regexp_replace(F.parse_url("url", F.lit("HOST")), r"^www\.", "")
-    address = r"([^,.!?<>]+), ([A-Z]{2}) ([0-9]{5})"
+    # tried only where a run of such characters starts, and searched once; the parts come from what it found
+    address = r"(?<![^,.!?<>])([^,.!?<>]++), ([A-Z]{2}) ([0-9]{5})"
     staged = pages.select("page_id", host.alias("host"), "html", text.alias("text"))
+    staged = staged.select("*", F.regexp_extract("text", address, 0).alias("address"))
     badges = words_found_exact("text", PAGE_TIERS)
     return staged.select(
         "page_id",
@@ -76,9 +78,9 @@ def page_record(pages: DataFrame) -> DataFrame:
         clean(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1)).alias("heading"),
         F.coalesce(F.get(badges, F.lit(0)), F.lit("Certified Installer")).alias("tier"),
         F.regexp_extract("text", r"([0-9.]+) *miles?", 1).try_cast("double").alias("miles"),
-        clean(F.regexp_extract("text", address, 1)).alias("city"),
-        F.nullif(F.regexp_extract("text", address, 2), F.lit("")).alias("state"),
-        F.nullif(F.regexp_extract("text", address, 3), F.lit("")).alias("zip"),
+        clean(F.regexp_extract("address", address, 1)).alias("city"),
+        F.nullif(F.regexp_extract("address", address, 2), F.lit("")).alias("state"),
+        F.nullif(F.regexp_extract("address", address, 3), F.lit("")).alias("zip"),
         F.regexp_count("html", F.lit(r"<a\s")).cast("long").alias("links"),
         F.nullif(
             F.regexp_extract("text", r"(\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})", 1), F.lit("")
