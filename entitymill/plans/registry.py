@@ -20,6 +20,9 @@ RAW = ("region nation customer supplier part orders lineitem events documents em
        "pages benchmark labels conversations").split()
 
 
+# Base rows that one task turns into rows of a written stand-in: a few seconds of string expressions.
+TASK_ROWS = 50_000
+
 # Stand-ins already written by this application: (application, data folder, table) -> path.
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -29,7 +32,9 @@ class Tables:
 
     The contact stand-ins take long string expressions. They are written once per application,
     row for row, to the shared checkpoint folder, so that queries scan Parquet with column
-    pruning and filter pushdown. The light ones stay expressions over their base table.
+    pruning and filter pushdown. Their base rows are dealt out evenly first: the base tables are
+    few bytes with many rows, so that one task would read most of them, and later one task most of
+    what was written. The light ones stay expressions over their base table.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -48,10 +53,16 @@ class Tables:
             return self._derived(name)
         return self.spark.read.parquet(self._written(name))
 
-    def _derived(self, name: str) -> DataFrame:
+    def _derived(self, name: str, base: Callable[[str], DataFrame] | None = None) -> DataFrame:
         body = standins.TABLES[name]
         used = {field for _, field, _, _ in Formatter().parse(body) if field}
-        return self.spark.sql(body, **{t: self.raw(t) for t in used})
+        return self.spark.sql(body, **{t: (base or self.raw)(t) for t in used})
+
+    def _dealt(self, name: str) -> DataFrame:
+        """A given table, dealt out to tasks of so many rows."""
+        rows = self.raw(name)
+        tasks = -(-rows.count() // TASK_ROWS)
+        return rows.repartition(tasks) if tasks > 1 else rows
 
     def _written(self, name: str) -> str:
         app = self.spark.sparkContext.applicationId
@@ -60,7 +71,7 @@ class Tables:
             root = ensure_checkpoint_dir(self.spark)
             folder = hashlib.md5(self.sf_dir.encode()).hexdigest()[:12]
             path = os.path.join(root, "standins", app, folder, name)
-            self._derived(name).write.mode("overwrite").parquet(path)
+            self._derived(name, self._dealt).write.mode("overwrite").parquet(path)
             _WRITTEN[key] = path
         return _WRITTEN[key]
 
