@@ -232,8 +232,9 @@ def search(
     wanted = max(int(np.ceil(share * sizes.sum())), least, top + 1)
     asked = queries.where(same).distinct()
     visits = asked.mapInArrow(_visit(books, sizes, wanted), "cell bigint, id bigint, v array<double>")
+    # a query is as many rows as it visits cells, which no estimate knows: neither side is ever broadcast
     pairs = _blocks(visits, ["id", "v"], "query", -(-asked.count() // DEALT) or 1).join(
-        _blocks(index, ["ids", "v"], "entry", -(-int(sizes.max()) // DEALT)), "cell")
+        _blocks(index, ["ids", "v"], "entry", -(-int(sizes.max()) // DEALT)).hint("merge"), "cell")
     found = pairs.select("query_id", "query_v", "entry_ids", "entry_v").mapInArrow(
         _compare(top), "query_id bigint, vec_id bigint, score double")
     rank = Window.partitionBy("query_id").orderBy("score", "vec_id")
