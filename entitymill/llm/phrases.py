@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ..operators.numbering import newest_per_group
 from ..operators.skew import lookup_join
-from ..session import keep_table
+from ..session import keep_table, setting
 from . import textbytes as tb
 
 LONGEST = 5
@@ -49,6 +49,10 @@ TOP = 2000
 SLICE_BYTES = 4 << 20
 PARTITION_MASS = 8_000_000
 SPARE = 4
+# Arrow buffers double as they grow, on both sides of the pipe: bytes of a batch, and numbers that are added up at once.
+BATCH_BYTES = 8 << 20
+MERGED = 1 << 20
+WORDS = 1 << 16
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 
 _BREAK = np.zeros(256, bool)
@@ -110,15 +114,23 @@ def corpus_slices(docs: DataFrame, size: int = SLICE_BYTES) -> DataFrame:
     texts = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    return keep_table(texts.mapInArrow(_slices(size), "slice bigint, lang string, text binary, words bigint")
-                      .where("words > 0"), "phrase-slices")
+    with _small_batches(docs):
+        return keep_table(texts.mapInArrow(_slices(size), "slice bigint, lang string, text binary, words bigint")
+                          .where("words > 0"), "phrase-slices", huge_rows=True)
+
+
+def _small_batches(df: DataFrame):
+    return setting(df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def _ngrams(lang: str, text: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, tuple]]:
     """(size, hashes, first words, word bounds) of the n-grams inside the pieces of a slice."""
     starts, ends, _ = tb.word_bounds(text, np.array([0, len(text)]), _WORD)
-    words = tb.word_hashes(text, starts, ends, tb.byte_values())
-    piece = np.cumsum(_BREAK[text])[starts]
+    table = tb.byte_values()
+    # some words at a time, as their hashes take arrays of all their bytes
+    words = np.concatenate([np.zeros(0, np.uint64), *(
+        tb.word_hashes(text, starts[a : a + WORDS], ends[a : a + WORDS], table) for a in range(0, len(starts), WORDS))])
+    piece = np.cumsum(_BREAK[text], dtype=np.int32)[starts]
     own = np.bitwise_xor.reduce(tb.mix(np.frombuffer(lang.encode(), np.uint8).astype(np.uint64)
                                        + (np.arange(len(lang.encode()), dtype=np.uint64) << np.uint64(8))))
     for size in range(1, longest + 1):
@@ -141,9 +153,9 @@ def _deal(partitions: int, longest: int):
             for at in range(len(batch)):
                 text = np.frombuffer(batch.column("text")[at].as_buffer(), np.uint8)
                 lang = batch.column("lang")[at].as_py()
-                hashes = np.concatenate([h for _, h, _, _ in _ngrams(lang, text, longest)])
-                part, number = _address(hashes, partitions)
-                keys, counts = np.unique(part << np.uint64(32) | number, return_counts=True)
+                keys, counts = np.unique(np.concatenate([
+                    part << np.uint64(32) | number for part, number in (
+                        _address(h, partitions) for _, h, _, _ in _ngrams(lang, text, longest))]), return_counts=True)
                 part = (keys >> np.uint64(32)).astype(np.int64)
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 ends = [*cuts[1:].tolist(), len(keys)]
@@ -194,7 +206,7 @@ class Summary:
         return self.numbers[self.counts + self.subtracted >= threshold]
 
 
-def summarised(rows: list[tuple[int, bytes, bytes]], threshold: int, merged: int = 1 << 20) -> Summary:
+def summarised(rows: list[tuple[int, bytes, bytes]], threshold: int, merged: int = MERGED) -> Summary:
     """The summary of a hash partition; its capacity follows from the partition's own mass."""
     mass = sum(len(n) // 4 + int(np.frombuffer(c, np.uint32)[len(c) // 8 :].sum(dtype=np.int64)) for _, n, c in rows)
     summary = Summary(SPARE * mass // threshold + 1)
@@ -241,11 +253,38 @@ def _survive(threshold: int):
     return run
 
 
-def _survivors_of(batch: pa.RecordBatch, at: int) -> np.ndarray:
+def _sent_to(texts: DataFrame, sent: DataFrame) -> DataFrame:
+    """Rows (slice, lang, text, sent): what is sent to a slice, one by one, and behind it the slice's text.
+
+    Nothing is gathered in a row: a task sorts what it gets, on disk if need be.
+    """
+    sent = sent.select("slice", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("binary").alias("text"),
+                       F.struct(*(c for c in sent.columns if c != "slice")).alias("sent"))
+    both = sent.unionAll(texts.select("slice", "lang", "text", F.lit(None).cast(sent.schema["sent"].dataType).alias("sent")))
+    return both.repartition("slice").sortWithinPartitions("slice", F.isnull("sent"))
+
+
+def _texts_with(batches: Iterator[pa.RecordBatch], *fields: str) -> Iterator[tuple]:
+    """(slice, lang, text, a list of what was sent for each field) of the slices that were sent something."""
+    held: list[tuple] = []
+    for batch in batches:
+        text, sent = batch.column("text"), batch.column("sent")
+        columns = [sent.field(f) for f in fields]
+        is_text = text.is_valid().to_numpy(zero_copy_only=False)
+        for at in range(len(batch)):
+            if not is_text[at]:
+                held.append(tuple(c[at].as_py() for c in columns))
+            elif held:
+                yield batch.column("slice")[at].as_py(), batch.column("lang")[at].as_py(), text[at].as_buffer(), *map(
+                    list, zip(*held, strict=True))
+                held = []
+
+
+def _survivors_of(parts: list[int], numbers: list[bytes]) -> np.ndarray:
     """Sorted addresses that survived in a slice."""
     return np.sort(np.concatenate([
-        np.frombuffer(x["numbers"], np.uint32).astype(np.uint64) | np.uint64(x["part"] << 32)
-        for x in batch.column("found")[at].as_py()]))
+        np.frombuffer(n, np.uint32).astype(np.uint64) | np.uint64(part << 32)
+        for part, n in zip(parts, numbers, strict=True)]))
 
 
 def _held(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -257,38 +296,59 @@ def _held(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 def _count(partitions: int, longest: int):
     """Slices with the numbers that survived in them to (part, slice, hashes, counts), exact and packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(len(batch)):
-                text = np.frombuffer(batch.column("text")[at].as_buffer(), np.uint8)
-                left, some = _survivors_of(batch, at), []
-                for _, hashes, _, _ in _ngrams(batch.column("lang")[at].as_py(), text, longest):
-                    part, number = _address(hashes, partitions)
-                    some.append(hashes[_held(part << np.uint64(32) | number, left)])
-                hashes, counts = np.unique(np.concatenate(some), return_counts=True)
-                part = _address(hashes, partitions)[0].astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                part, hashes, counts = part[order], hashes[order], counts[order].astype(np.uint32)
-                cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
-                ends = [*cuts[1:], len(part)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[cuts]), pa.array([batch.column("slice")[at].as_py()] * len(cuts), pa.int64()),
-                     pa.array([hashes[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-                     pa.array([counts[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())],
-                    ["part", "slice", "hashes", "counts"])
+        for number_of, lang, text, parts, numbers in _texts_with(batches, "part", "numbers"):
+            left, some = _survivors_of(parts, numbers), []
+            for _, hashes, _, _ in _ngrams(lang, np.frombuffer(text, np.uint8), longest):
+                part, number = _address(hashes, partitions)
+                some.append(hashes[_held(part << np.uint64(32) | number, left)])
+            hashes, counts = np.unique(np.concatenate(some), return_counts=True)
+            part = _address(hashes, partitions)[0].astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            part, hashes, counts = part[order], hashes[order], counts[order].astype(np.uint32)
+            cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            ends = [*cuts[1:], len(part)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[cuts]), pa.array([number_of] * len(cuts), pa.int64()),
+                 pa.array([hashes[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+                 pa.array([counts[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())],
+                ["part", "slice", "hashes", "counts"])
 
     return run
 
 
+class Sums:
+    """Exact counts of hashes and the first slice of each, added up some at a time."""
+
+    def __init__(self, merged: int = MERGED):
+        self.merged = merged
+        self.hashes, self.total, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, number_of: int, hashes: bytes, counts: bytes) -> None:
+        values = np.frombuffer(hashes, np.uint64)
+        self.waiting.append((values, np.frombuffer(counts, np.uint32).astype(np.int64),
+                             np.full(len(values), number_of, np.int64)))
+        self.size += len(values)
+        if self.size >= self.merged:
+            self.merge()
+
+    def merge(self) -> None:
+        hashes, counts, first = map(np.concatenate, zip(
+            (self.hashes, self.total, self.first), *self.waiting, strict=True))
+        self.hashes, place = np.unique(hashes, return_inverse=True)
+        self.total, self.first = np.zeros(len(self.hashes), np.int64), np.full(len(self.hashes), np.iinfo(np.int64).max)
+        np.add.at(self.total, place, counts)
+        np.minimum.at(self.first, place, first)
+        self.waiting, self.size = [], 0
+
+
 def _add_up(threshold: int):
     """Rows sorted by part to (slice, hashes, counts): frequent n-grams at the first slice that has each."""
-    def settle(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        hashes, place = np.unique(np.concatenate([np.frombuffer(h, np.uint64) for _, h, _ in rows]), return_inverse=True)
-        sizes = [len(h) // 8 for _, h, _ in rows]
-        total, first = np.zeros(len(hashes), np.int64), np.full(len(hashes), np.iinfo(np.int64).max)
-        np.add.at(total, place, np.concatenate([np.frombuffer(c, np.uint32) for _, _, c in rows]).astype(np.int64))
-        np.minimum.at(first, place, np.repeat([x for x, _, _ in rows], sizes))
-        often = total >= threshold
-        hashes, total, first = hashes[often], total[often], first[often]
+    def settle(sums: Sums) -> pa.RecordBatch:
+        sums.merge()
+        often = sums.total >= threshold
+        hashes, total, first = sums.hashes[often], sums.total[often], sums.first[often]
         order = np.argsort(first, kind="stable")
         hashes, total, first = hashes[order], total[order], first[order]
         cuts = np.flatnonzero(np.diff(first, prepend=-1)).tolist()
@@ -299,16 +359,16 @@ def _add_up(threshold: int):
             ["slice", "hashes", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, current = [], None
+        sums, current = None, None
         for batch in batches:
             for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "slice", "hashes", "counts")), strict=True):
-                if part != current and rows:
-                    yield settle(rows)
-                    rows = []
-                current = part
-                rows.append(row)
-        if rows:
-            yield settle(rows)
+                if part != current:
+                    if sums:
+                        yield settle(sums)
+                    sums, current = Sums(), part
+                sums.add(*row)
+        if sums:
+            yield settle(sums)
 
     return run
 
@@ -316,25 +376,22 @@ def _add_up(threshold: int):
 def _name(longest: int):
     """Slices with the frequent n-grams that they name to (lang, phrase, size, a)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(len(batch)):
-                data = batch.column("text")[at].as_py()
-                text, lang = np.frombuffer(data, np.uint8), batch.column("lang")[at].as_py()
-                found = batch.column("found")[at].as_py()
-                wanted = np.concatenate([np.frombuffer(x["hashes"], np.uint64) for x in found])
-                totals = np.concatenate([np.frombuffer(x["counts"], np.int64) for x in found])
-                order = np.argsort(wanted)
-                wanted, totals = wanted[order], totals[order]
-                for size, hashes, first, (starts, ends) in _ngrams(lang, text, longest):
-                    hit = _held(hashes, wanted)
-                    named, one = np.unique(hashes[hit], return_index=True)
-                    word = first[hit[one]]
-                    phrases = [b" ".join(data[a:b].split()) for a, b in zip(
-                        starts[word].tolist(), ends[word + size - 1].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(one), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                         pa.array(np.full(len(one), size, np.int32)), pa.array(totals[np.searchsorted(wanted, named)])],
-                        ["lang", "phrase", "size", "a"])
+        for _, lang, text, hashes, counts in _texts_with(batches, "hashes", "counts"):
+            data = text.to_pybytes()
+            wanted = np.concatenate([np.frombuffer(x, np.uint64) for x in hashes])
+            totals = np.concatenate([np.frombuffer(x, np.int64) for x in counts])
+            order = np.argsort(wanted)
+            wanted, totals = wanted[order], totals[order]
+            for size, found, first, (starts, ends) in _ngrams(lang, np.frombuffer(data, np.uint8), longest):
+                hit = _held(found, wanted)
+                named, one = np.unique(found[hit], return_index=True)
+                word = first[hit[one]]
+                phrases = [b" ".join(data[a:b].split()) for a, b in zip(
+                    starts[word].tolist(), ends[word + size - 1].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(one), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
+                     pa.array(np.full(len(one), size, np.int32)), pa.array(totals[np.searchsorted(wanted, named)])],
+                    ["lang", "phrase", "size", "a"])
 
     return run
 
@@ -351,14 +408,14 @@ def frequent_ngrams(slices: DataFrame, threshold: int = THRESHOLD, longest: int
     found = dealt.repartition(least, "part").sortWithinPartitions("part").mapInArrow(
         _survive(threshold), "slice bigint, part bigint, numbers binary")
     texts = slices.select("slice", "lang", "text")
-    found = keep_table(found.groupBy("slice").agg(F.collect_list(F.struct("part", "numbers")).alias("found")), "survivors")
-    counted = texts.join(found, "slice").mapInArrow(
+    counted = _sent_to(texts, found).mapInArrow(
         _count(partitions, longest), "part bigint, slice bigint, hashes binary, counts binary")
     often = counted.repartition(least, "part").sortWithinPartitions("part").mapInArrow(
         _add_up(threshold), "slice bigint, hashes binary, counts binary")
-    often = keep_table(often.groupBy("slice").agg(F.collect_list(F.struct("hashes", "counts")).alias("found")), "often")
-    return keep_table(texts.join(often, "slice").mapInArrow(
-        _name(longest), "lang string, phrase string, size int, a bigint"), "frequent-ngrams")
+    with _small_batches(slices):
+        often = keep_table(often, "often")
+        return keep_table(_sent_to(texts, often).mapInArrow(
+            _name(longest), "lang string, phrase string, size int, a bigint"), "frequent-ngrams")
 
 
 def _within(phrases: DataFrame) -> DataFrame:
@@ -373,7 +430,7 @@ def _within(phrases: DataFrame) -> DataFrame:
 def scored_phrases(ngrams: DataFrame, totals: DataFrame) -> DataFrame:
     """lang, phrase, a, l, r, n, score of the candidates that no equally frequent longer one holds."""
     phrases = ngrams.where("size > 1")
-    kept = keep_table(phrases.join(_within(phrases), ["lang", "phrase"], "left").where(
+    kept = keep_table(phrases.join(_within(phrases).hint("merge"), ["lang", "phrase"], "left").where(
         "longer_a IS NULL OR longer_a < a").select("lang", "phrase", "size", "a"), "phrases")
     words = F.split("phrase", " ")
     cuts = kept.select("lang", "phrase", "a", F.explode(F.transform(
@@ -386,7 +443,7 @@ def scored_phrases(ngrams: DataFrame, totals: DataFrame) -> DataFrame:
     # a very common word is a part of very many phrases
     known = ngrams.select(F.struct("lang", F.col("phrase").alias("part")).alias("key"), F.col("a").alias("n"))
     sided = parts.select(F.struct("lang", "p.part").alias("key"), "lang", "phrase", "a", "k", "p.is_first")
-    counted = lookup_join(sided, known, "key", "phrase").groupBy("lang", "phrase", "a", "k").agg(
+    counted = lookup_join(sided, known, "key", "phrase", broadcast=False).groupBy("lang", "phrase", "a", "k").agg(
         F.max(F.when(F.col("is_first"), F.col("n"))).alias("l"), F.max(F.when(~F.col("is_first"), F.col("n"))).alias("r"))
     # both products have 38 digits
     score = F.expr("(CAST(a AS DECIMAL(18, 0)) * 1000 * CAST(n AS DECIMAL(15, 0)))"

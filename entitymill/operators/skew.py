@@ -15,6 +15,7 @@ def lookup_join(
     spread_by: str,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    broadcast: bool = True,
 ) -> DataFrame:
     """Join many rows to a table with one row per key, splitting the hot keys.
 
@@ -22,6 +23,9 @@ def lookup_join(
     the table is an aggregate on the same key, so the split is done by hand. Keys with more
     than `hot_rows` rows get as many salts as they hold multiples of it, and only their table
     rows are repeated. At most rows/hot_rows keys can be hot, which bounds the broadcast.
+
+    broadcast: the table may be broadcast where Spark takes it for small; not for one whose size
+    as a file (packed, compressed) says little of its size in memory.
     """
     hot = (
         rows.where(F.col(key).isNotNull())
@@ -41,4 +45,4 @@ def lookup_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop("_salts")
     )
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return left.join(right if broadcast else right.hint("merge"), [key, "_salt"], how).drop("_salt")
