@@ -344,8 +344,24 @@ def similar_links(named: DataFrame, links: DataFrame, threshold: float, kind: st
         links.select(F.col(c).cast("long").alias("id")) for c in ("u", "v"))]).distinct()
     groups = keep_table(connected_components(nodes, links.select("u", "v").unionAll(early)), "name-groups")
     placed = named.join(groups.select(F.col("id").alias("at"), F.col("component").alias("grp")), "at")
-    # a block of one component has nothing left to compare
-    mixed = placed.groupBy("block").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a < b").select("block")
-    placed = keep_table(placed.join(mixed, "block", "left_semi"), "mixed-names")
-    new, known = _prepared(placed, placed, group=True)
+    # a block of one component has nothing left to compare, nor have two names of its largest one
+    sizes = placed.groupBy("block", "grp").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("block").agg(F.count(F.lit(1)).alias("groups"), F.max(F.struct("n", "grp")).alias("top"))
+    placed = keep_table(
+        placed.join(largest.where("groups > 1").select("block", F.col("top.grp").alias("top")), "block")
+        .select("block", "name", "at", "grp", (F.col("grp") == F.col("top")).alias("in_top")), "mixed-names")
+    new, known = _prepared(_sided(placed, False), _sided(placed, True), group=True)
     return early.unionAll(_run(new, known, threshold, kind, _Joined, "cross-links").select("u", "v"))
+
+
+def _sided(placed: DataFrame, known: bool) -> DataFrame:
+    """Every block as two: names of its largest component meet the others, the others meet all.
+
+    One component may hold most of a block; its names need not meet, nor be sent to, one another.
+    """
+    to_top, to_rest = (F.concat("block", F.lit(f"|{half}")) for half in ("top", "rest"))
+    if known:
+        halves = F.array_compact(F.array(F.when(~F.col("in_top"), to_top), to_rest))
+    else:
+        halves = F.array(F.when(F.col("in_top"), to_top).otherwise(to_rest))
+    return placed.select(F.explode(halves).alias("block"), "name", "at", "grp")
