@@ -219,11 +219,11 @@ def batch(t):
     )
 
 
-def run_upsert(t):
+def run_upsert(t, records=None):
     licences = t.licenses.select(
         F.col("contractor_id").alias("entity_id"), "state", "license_type", "license_number"
     )
-    return upserting.upsert(batch(t), master(t), master_contacts(t), licences)
+    return upserting.upsert(batch(t) if records is None else records, master(t), master_contacts(t), licences)
 
 
 @query("d07_upsert")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names, phones
 from ..operators import exports, funnel, history, keyed, marts
-from ..session import scratch_dir
+from ..session import keep_table, scratch_dir
 from ..sources import files, sinks
 from ..streaming import imports as streamed, stages
 from . import duck
@@ -161,7 +161,8 @@ def x08(t):
 
 @query("x09_audited_upsert")
 def x09(t):
-    log = history.merge_log(run_upsert(t).assignments, batch(t), ["company_name", "phone", "email", "state"])
+    records = keep_table(batch(t), "batch")
+    log = history.merge_log(run_upsert(t, records).assignments, records, ["company_name", "phone", "email", "state"])
     return log.select("entity_id", "record_id", "change_type", F.to_json("new_values").alias("new_values"))
 
 
