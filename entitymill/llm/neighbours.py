@@ -12,8 +12,9 @@ neighbours spread over much of the space, so that a fixed number of candidates w
 the table grows. It is a parameter; recall is measured against brute force in the tests.
 
 Scale: equal vectors are one entry with the `top + 1` smallest ids, which is all that ties to
-smaller ids can ask for; a vector that a third of all rows share is one entry. Entries and queries
-travel to cells as blocks of `BLOCK` rows; a task compares block by block in arrays and passes on
+smaller ids can ask for; a vector that a third of all rows share is one entry. Cells are dealt to groups;
+a query travels once to each group with the list of cells that it visits there. Entries (of one cell) and queries
+travel as blocks of `BLOCK` rows; a task compares block by block in arrays and passes on
 the best `top` per query, so neither rows of pairs nor a whole cell exist anywhere. The tables of
 centroids and cell sizes are bounded by the codebooks, whatever the data.
 
@@ -45,6 +46,9 @@ BLOCK = 512
 # Rows of a cell that one task cuts into blocks, and floats of one array of differences.
 DEALT = 16 * BLOCK
 TOGETHER = 4_000_000
+# Groups of cells: so many, or more so that one has about as many entries.
+GROUPS = 64
+GROUP_ENTRIES = 16_384
 
 
 def usable_vectors(rows: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -130,41 +134,48 @@ def _assign(books):
     return run
 
 
-def _visit(books, sizes: np.ndarray, wanted: int):
+def _visit(books, sizes: np.ndarray, wanted: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = books.value
         for batch in batches:
             x, y = (_squares(h, c) for h, c in zip(_halves(_matrix(batch.column("v"))), (first, second), strict=True))
-            cells = [visiting_order(x[i], y[i], sizes, wanted) for i in range(len(batch))]
-            row = np.repeat(np.arange(len(batch)), [len(c) for c in cells])
+            visits = [np.array(visiting_order(x[i], y[i], sizes, wanted), np.int64) for i in range(len(batch))]
+            cells = np.concatenate([np.zeros(0, np.int64), *visits])
+            row = np.repeat(np.arange(len(batch)), [len(v) for v in visits])
+            order = np.lexsort((cells, cells % groups, row))
+            cells, row = cells[order], row[order]
+            group = cells % groups
+            cuts = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(group, prepend=-1) != 0))
+            at = pa.array(row[cuts])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array([c for v in cells for c in v], np.int64)),
-                 batch.column("id").take(pa.array(row)), batch.column("v").take(pa.array(row))], ["cell", "id", "v"])
+                [pa.array(group[cuts]), batch.column("id").take(at), batch.column("v").take(at),
+                 pa.ListArray.from_arrays(pa.array(np.append(cuts, len(cells)), pa.int32()), pa.array(cells))],
+                ["grp", "id", "v", "cells"])
 
     return run
 
 
-def _blocks(rows: DataFrame, columns: list[str], side: str, salts: int) -> DataFrame:
-    """Rows of a cell as blocks: a cell is dealt to so many tasks, each cuts what it has."""
+def _blocks(rows: DataFrame, key: str, columns: list[str], side: str, salts: int) -> DataFrame:
+    """Rows of a key as blocks: a key is dealt to so many tasks, each cuts what it has."""
     salt = F.pmod(F.xxhash64(*columns), F.lit(salts)).alias("salt")
     kinds = ", ".join(f"`{side}_{c}` array<{rows.schema[c].dataType.simpleString()}>" for c in columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted by cell: each run of a cell in a batch, in pieces of a block."""
+        """Sorted by key: each run of a key in a batch, in pieces of a block."""
         for batch in batches:
-            cells = batch.column("cell").to_numpy()
-            edges = np.flatnonzero(np.append(np.insert(cells[1:] != cells[:-1], 0, True), True)) if len(cells) else []
+            keys = batch.column(key).to_numpy()
+            edges = np.flatnonzero(np.append(np.insert(keys[1:] != keys[:-1], 0, True), True)) if len(keys) else []
             for low, high in zip(edges[:-1], edges[1:], strict=True):
                 for at in range(low, high, BLOCK):
                     part = batch.slice(at, min(BLOCK, high - at))
                     ends = pa.array([0, len(part)], pa.int32())
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("cell").slice(0, 1),
+                        [part.column(key).slice(0, 1),
                          *(pa.ListArray.from_arrays(ends, part.column(c)) for c in columns)],
-                        ["cell", *(f"{side}_{c}" for c in columns)])
+                        [key, *(f"{side}_{c}" for c in columns)])
 
-    dealt = rows.withColumn("salt", salt).repartition("cell", "salt").sortWithinPartitions("cell").drop("salt")
-    return dealt.select("cell", *columns).mapInArrow(cut, f"cell bigint, {kinds}")
+    dealt = rows.withColumn("salt", salt).repartition(key, "salt").sortWithinPartitions(key).drop("salt")
+    return dealt.select(key, *columns).mapInArrow(cut, f"{key} bigint, {kinds}")
 
 
 def best_in(
@@ -193,8 +204,13 @@ def _compare(top: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
+                visited = batch.column("query_cells")[row].values
+                asker = np.repeat(np.arange(len(visited)), visited.value_lengths().to_numpy())
+                here = asker[visited.flatten().to_numpy() == batch.column("cell")[row].as_py()]
+                if not len(here):
+                    continue
                 queries, entries = (_matrix(batch.column(c)[row].values) for c in ("query_v", "entry_v"))
-                own = batch.column("query_id")[row].values.to_numpy()
+                queries, own = queries[here], batch.column("query_id")[row].values.to_numpy()[here]
                 ids = batch.column("entry_ids")[row].values
                 owner = np.repeat(np.arange(len(ids)), ids.value_lengths().to_numpy())
                 query, found, distance = best_in(queries, own, entries, ids.flatten().to_numpy(), owner, top)
@@ -231,11 +247,13 @@ def search(
         sizes[r["cell"]] = r["count"]
     wanted = max(int(np.ceil(share * sizes.sum())), least, top + 1)
     asked = queries.where(same).distinct()
-    visits = asked.mapInArrow(_visit(books, sizes, wanted), "cell bigint, id bigint, v array<double>")
-    # a query is as many rows as it visits cells, which no estimate knows: neither side is ever broadcast
-    pairs = _blocks(visits, ["id", "v"], "query", -(-asked.count() // DEALT) or 1).join(
-        _blocks(index, ["ids", "v"], "entry", -(-int(sizes.max()) // DEALT)).hint("merge"), "cell")
-    found = pairs.select("query_id", "query_v", "entry_ids", "entry_v").mapInArrow(
+    groups = min(max(GROUPS, -(-int(sizes.sum()) // GROUP_ENTRIES)), len(sizes))
+    visits = asked.mapInArrow(_visit(books, sizes, wanted, groups), "grp bigint, id bigint, v array<double>, cells array<bigint>")
+    # a query is as many rows as it visits groups, which no estimate knows: neither side is ever broadcast
+    pairs = _blocks(visits, "grp", ["id", "v", "cells"], "query", -(-asked.count() // DEALT) or 1).join(
+        _blocks(index, "cell", ["ids", "v"], "entry", -(-int(sizes.max()) // DEALT))
+        .withColumn("grp", F.pmod("cell", F.lit(groups))).hint("merge"), "grp")
+    found = pairs.select("cell", "query_id", "query_cells", "query_v", "entry_ids", "entry_v").mapInArrow(
         _compare(top), "query_id bigint, vec_id bigint, score double")
     rank = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
